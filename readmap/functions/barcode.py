@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 BASES = "ACTG"
 
 # A base's code is bits 1 and 2 of its ASCII byte, so case does not matter and N codes as G.
-_ASCII = "".join(chr(c) for c in range(1, 128))
-_CODES = "".join(str((c >> 1) & 3) for c in range(1, 128))
+_ASCII = "".join(chr(c) for c in range(32, 127))
+_CODES = "".join(str((c >> 1) & 3) for c in range(32, 127))
 
 # conv() goes through a 64-bit integer; 31 bases keep its sign bit clear.
 _CHUNK = 31

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readmap.functions import neighbour_masks
-from readmap.operators.salting import salted_join
+from readmap.operators.salting import SALTS, salted_join
 
 
 def unique_mask(mask: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def captured_barcodes(captured: DataFrame, mask: DataFrame) -> DataFrame:
     Same rows as a left join. As two joins, so that a barcode repeated in the mask without bound can
     be spread over tasks.
     """
-    located = salted_join(mask, captured, "barcode").select("barcode", "reads", "x", "y")
+    located = salted_join(mask, captured, "barcode", ["x", "y"]).select("barcode", "reads", "x", "y")
     missing = unmapped_barcodes(captured, mask).select(
         "barcode", "reads", F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y")
     )
@@ -64,14 +64,13 @@ def one_mismatch_map(
         F.count("*").alias("_n"), F.min("mask_barcode").alias("mask_barcode")
     )
     nearest = nearest.filter("_n = 1").drop("_n")
-    # Several barcodes may share a neighbour and a mask barcode may repeat: salt against the latter.
-    positions = mask.withColumnRenamed("barcode", "mask_barcode")
-    spread = F.pmod(F.xxhash64("x", "y"), F.lit(4))
-    salts = F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(4)]))
-    joined = nearest.withColumn("_salt", salts).join(
-        positions.withColumn("_salt", spread), ["mask_barcode", "_salt"]
+    # Several barcodes may share a mask barcode, and the mask may repeat it: spread its positions.
+    salts = F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(SALTS)]))
+    positions = mask.withColumnRenamed("barcode", "mask_barcode").withColumn(
+        "_salt", F.pmod(F.xxhash64("x", "y"), F.lit(SALTS))
     )
-    return joined.select("barcode", "mask_barcode", "x", "y")
+    placed = nearest.withColumn("_salt", salts).join(positions, ["mask_barcode", "_salt"])
+    return placed.select("barcode", "mask_barcode", "x", "y")
 
 
 def _keys(mask: DataFrame) -> DataFrame:

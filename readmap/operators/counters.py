@@ -28,9 +28,9 @@ def run_counters(
     first, second = mate1(reads1, layout), mate2(reads2, layout, adapters)
     positions = (lookup if lookup is not None else mask).groupBy("barcode").agg(F.count("*").alias("_hits"))
     if layout.has_barcode(1):
-        first = salted_join(first, positions, "barcode", "left")
+        first = salted_join(first, positions, "barcode", ["name"], "left")
     else:
-        second = salted_join(second, positions, "barcode", "left")
+        second = salted_join(second, positions, "barcode", ["name"], "left")
 
     one, passed = F.lit(1), (~F.col("adapter")).cast("int")
     factors1 = {"n1": one} | _factors(layout, 1, (~F.col("short1")).cast("int"))

@@ -13,9 +13,13 @@ def order_barcodes(df: DataFrame) -> DataFrame:
     return df.orderBy("barcode")
 
 
-def position_key() -> Column:
-    """One integer that orders as (y, x) does."""
-    return F.shiftleft(F.col("y").cast("bigint"), 32) + F.col("x").cast("bigint")
+def position_ranks(positions: DataFrame) -> DataFrame:
+    """Distinct positions with their number of rows and their rank by y, then x."""
+    ranks = ranked(positions, F.shiftleft(F.col("y").cast("bigint"), 32) + F.col("x"))
+    y = F.shiftright(F.col("key") + F.lit(1 << 31), 32)
+    return ranks.select(
+        y.cast("int").alias("y"), (F.col("key") - F.shiftleft(y, 32)).cast("int").alias("x"), "n", "rank"
+    )
 
 
 def ranked(df: DataFrame, key: Column, ranges: int = 64) -> DataFrame:

@@ -28,7 +28,8 @@ def windows(sequence, quality, layout: ReadLayout, read: int) -> dict[str, Colum
     columns = {}
     if layout.has_barcode(read):
         start, length = layout.barcode_start, layout.barcode_len
-        columns["barcode"] = barcode_encode(sequence, start, length, layout.offset)
+        # Never NULL, or the join would test it in a filter of its own and so encode twice.
+        columns["barcode"] = F.coalesce(barcode_encode(sequence, start, length, layout.offset), F.lit(0))
         columns["barcode_q30"] = q30_bases(F.substring(quality, start + 1, length))
     if layout.has_umi(read):
         umi = F.substring(sequence, layout.umi_start + 1, layout.umi_len)
@@ -42,7 +43,7 @@ def windows(sequence, quality, layout: ReadLayout, read: int) -> dict[str, Colum
 
 def _too_short(layout: ReadLayout, read: int) -> Column:
     needed = layout.bases_needed(read)
-    return (F.length("sequence") < needed) | (F.length("quality") < needed)
+    return F.least(*[F.coalesce(F.length(c), F.lit(0)) for c in ("sequence", "quality")]) < needed
 
 
 def mate1(reads1: DataFrame, layout: ReadLayout) -> DataFrame:
@@ -72,16 +73,16 @@ def flag_adapters(reads: DataFrame, adapters=None) -> DataFrame:
     if isinstance(adapters, DataFrame):
         head = adapters.limit(INLINE_ADAPTERS + 1).collect()
         if len(head) > INLINE_ADAPTERS:
-            return _flag_by_join(reads, adapters)
+            return flag_adapters_by_join(reads, adapters)
         adapters = [row[0] for row in head]
     adapters = list(adapters or ())
     if len(adapters) > INLINE_ADAPTERS:
         table = reads.sparkSession.createDataFrame([(a,) for a in adapters], "adapter string")
-        return _flag_by_join(reads, table)
+        return flag_adapters_by_join(reads, table)
     return reads.withColumn("adapter", has_adapter("sequence", adapters))
 
 
-def _flag_by_join(reads: DataFrame, adapters: DataFrame) -> DataFrame:
+def flag_adapters_by_join(reads: DataFrame, adapters: DataFrame) -> DataFrame:
     """Every substring that is as long as some adapter, looked up among the adapters."""
     adapters = adapters.toDF("adapter").filter("adapter <> ''").distinct()
     lengths = sorted(row[0] for row in adapters.select(F.length("adapter")).distinct().collect())
@@ -94,8 +95,8 @@ def _flag_by_join(reads: DataFrame, adapters: DataFrame) -> DataFrame:
         "_length",
         F.explode(F.sequence(F.lit(1), F.length("sequence") - F.col("_length") + 1)).alias("_at"),
     ).select("sequence", F.substring("sequence", F.col("_at"), F.col("_length")).alias("adapter"))
-    hits = salted_join(substrings, adapters, "adapter", "left_semi").select("sequence").distinct()
-    flagged = salted_join(reads, hits.withColumn("_hit", F.lit(True)), "sequence", "left")
+    hits = salted_join(substrings, adapters, "adapter", ["sequence"], "left_semi").select("sequence").distinct()
+    flagged = salted_join(reads, hits.withColumn("_hit", F.lit(True)), "sequence", ["name"], "left")
     return flagged.withColumn("adapter", F.coalesce("_hit", F.lit(False))).drop("_hit").select(
         *reads.columns, "adapter"
     )

@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 SALTS = 4
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salted_join(
+    many: DataFrame, few: DataFrame, key: str, spread: list[str], how: str = "inner", salts: int = SALTS
+) -> DataFrame:
     """Join on ``key``; each row of ``few`` (unique by key) is repeated per salt.
 
-    Rows of ``many`` with the same key go to ``salts`` tasks. The salt is a second join key, so both
-    inputs are shuffled for this join alone and adaptive execution can split a hot partition further.
+    Rows of ``many`` with the same key go to ``salts`` tasks by a hash of the ``spread`` columns. The
+    salt is a second join key, so both inputs are shuffled for this join alone and adaptive execution
+    can split a hot partition further.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"no salted {how!r} join")
-    spread = [F.col(c) for c in many.columns if c != key] or [F.monotonically_increasing_id()]
     salted = many.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
     repeated = few.withColumn("_salt", F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(salts)])))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

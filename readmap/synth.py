@@ -81,3 +81,19 @@ def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffixed(reads: DataFrame) -> DataFrame:
     """Reads named as in a file: with ``/<number>``."""
     return reads.withColumn("name", F.concat("name", F.lit("/"), F.col("read_no").cast("string")))
+
+
+def with_errors(pairs: DataFrame) -> DataFrame:
+    """Every fourth read 1 with one base of its barcode changed."""
+    at = (F.col("event_id") % 25).cast("int") + 1
+    base = F.substring("seq1", at, F.lit(1))
+    changed = F.translate(base, "ACTG", "CTGA")
+    altered = F.concat(F.substring("seq1", F.lit(1), at - 1), changed, F.substring("seq1", at + 1, F.lit(99)))
+    return pairs.withColumn("seq1", F.when(F.col("event_id") % 4 == 0, altered).otherwise(F.col("seq1")))
+
+
+def many_adapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One adapter per supplier, six to eight bases long."""
+    length = (F.col("s_suppkey") % 3 + 6).cast("int")
+    adapter = F.substring(bases("a", "s_suppkey"), F.lit(1), length)
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(adapter.alias("adapter"))
