@@ -10,6 +10,6 @@ def write_report(report: DataFrame, path: str) -> str:
     rows = report.select("line_no", "line").collect()
     text = "".join(row["line"] + "\n" for row in sorted(rows))
     filesystem, inner = files.open_path(path)
-    with filesystem.open_output_stream(inner) as out:
+    with filesystem.open_output_stream(inner, compression=None) as out:
         out.write(text.encode())
     return text

@@ -138,7 +138,7 @@ class BlockWriter(PartWriter):
                 index.append(f"{number}\t{offset}\t{len(member)}\n")
                 offset += len(member)
         filesystem, path = files.open_path(self.path)
-        with filesystem.open_output_stream(f"{path}/.{name}.idx") as out:
+        with filesystem.open_output_stream(f"{path}/.{name}.idx", compression=None) as out:
             out.write("".join(index).encode())
         return WrittenPart([name + ".idx", name])
 

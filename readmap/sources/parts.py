@@ -26,7 +26,7 @@ class PartWriter(DataSourceArrowWriter):
         filesystem, path = files.open_path(self.path)
         filesystem.create_dir(path, recursive=True)
         name = f"part-{uuid.uuid4().hex}{suffix}"
-        return name, filesystem.open_output_stream(f"{path}/.{name}")
+        return name, filesystem.open_output_stream(f"{path}/.{name}", compression=None)
 
     def commit(self, messages):
         filesystem, path = files.open_path(self.path)
