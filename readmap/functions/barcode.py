@@ -37,7 +37,7 @@ def barcode_encode(col, start: int = 0, length: int = 25, offset: str = "read")
 
 def barcode_decode(col, length: int = 25) -> Column:
     """Bases of a key; inverse of :func:`barcode_encode` for windows that start at 0."""
-    digits = F.lpad(F.conv(_column(col).cast("string"), 10, 4), 32, "0")
+    digits = F.lpad(F.conv(F.hex(_column(col)), 16, 4), 32, "0")
     bases = F.translate(F.reverse(digits), "0123", BASES)
     if length > 32:  # shifts wrap at 64 bits
         bases = F.repeat(bases, F.lit(-(-length // 32)))
