@@ -16,7 +16,7 @@ def order_barcodes(df: DataFrame) -> DataFrame:
 def position_ranks(positions: DataFrame) -> DataFrame:
     """Distinct positions with their number of rows and their rank by y, then x."""
     above = F.col("x").cast("bigint") + F.lit(1 << 31)  # x moved to 0 .. 2^32 - 1
-    ranks = ranked(positions, F.shiftleft(F.col("y").cast("bigint"), 32) + above)
+    ranks = ranked(positions, F.shiftleft(F.col("y").cast("bigint"), 32).bitwiseOR(above))
     x = F.col("key").bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)
     return ranks.select(
         F.shiftright("key", 32).cast("int").alias("y"), x.cast("int").alias("x"), "n", "rank"

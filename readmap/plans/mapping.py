@@ -94,7 +94,7 @@ def _located(mate: DataFrame, lookup: DataFrame, short: str, layout: ReadLayout)
         return mate.join(lookup, "barcode")
     # Short reads have no barcode but must reach the pair join: they meet a row of their own.
     table = lookup.select("barcode", F.lit(False).alias("_short"), "x", "y")
-    nowhere = mate.sparkSession.range(1).selectExpr(
+    nowhere = mate.sparkSession.range(0, 1, 1, 1).selectExpr(
         "id AS barcode", "true AS _short", "cast(NULL AS int) AS x", "cast(NULL AS int) AS y"
     )
     keyed = mate.withColumn("_short", F.col(short)).withColumn(

@@ -1,0 +1,108 @@
+"""Hot keys: a third of all rows share a barcode or a name, and joins must split them."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import plain
+from readmap import map_barcodes
+from readmap.operators.barcodes import captured_barcodes, captured_counts
+from readmap.operators.counters import run_counters
+
+HOT = "G" * 25
+MASK = "barcode bigint, x int, y int"
+
+
+@pytest.fixture
+def small_partitions(settings):
+    """Adaptive execution as with large inputs: nothing is broadcast, and little is much."""
+    settings(
+        spark__sql__shuffle__partitions="64",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="3k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+
+
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()  # only a final plan says skew=true
+
+
+def reads(spark, n=30_000, hot_names=False):
+    number = F.col("id")
+    bases = F.translate(F.sha2(number.cast("string"), 256), "0123456789abcdef", "ACTGACTGACTGACTG")
+    barcode = F.when(number % 3 == 0, HOT).otherwise(F.substring(bases, 1, 25))
+    name = F.concat(F.lit("read"), number.cast("string"))
+    table = spark.range(n).repartition(8)
+    first = table.select(
+        (F.when(number % 3 == 0, "same").otherwise(name) if hot_names else name).alias("name"),
+        F.concat(barcode, F.lit("ACGTACGTAC")).alias("sequence"),
+        F.repeat(F.lit("I"), F.lit(35)).alias("quality"),
+    )
+    second = table.select(
+        F.when(number == 0, "same").otherwise(name).alias("name") if hot_names else name.alias("name"),
+        bases.alias("sequence"),
+        F.repeat(F.lit("I"), F.lit(64)).alias("quality"),
+    )
+    return first, second
+
+
+def mask(spark, first):
+    known = first.select(F.substring("sequence", 1, 25).alias("b")).distinct().filter("hash(b) % 2 = 0 OR b LIKE 'GGGGGGGGGG%'")
+    from readmap.functions import barcode_encode
+
+    return known.select(
+        barcode_encode("b").alias("barcode"), F.lit(1).alias("x"), (F.hash("b") % 100).alias("y")
+    )
+
+
+def test_hot_barcode_in_reads(spark, small_partitions):
+    first, second = reads(spark)
+    table = mask(spark, first).persist()
+    mapping = map_barcodes(table, first, second)
+    text = plan(mapping.tagged)
+    assert "skew=true" in text and "Broadcast" not in text
+    assert mapping.tagged.filter("umi = 'ACGTACGTAC'").count() == mapping.counters.first().mapped
+    assert "skew=true" in plan(mapping.counters)
+    table.unpersist()
+
+
+def test_hot_name(spark, small_partitions):
+    first, second = reads(spark, hot_names=True)
+    mapping = map_barcodes(mask(spark, first).persist(), first, second)
+    assert "skew=true" in plan(mapping.tagged)
+    row = mapping.counters.first()
+    assert row.total == 30_000 and row.mapped == mapping.tagged.count()
+
+
+def test_hot_barcode_in_mask(spark, small_partitions):
+    first, second = reads(spark, n=300)
+    key = plain.encode(HOT, 0, 25)
+    table = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, key).otherwise(F.col("id")).alias("barcode"),
+        F.col("id").cast("int").alias("x"),
+        F.lit(0).alias("y"),
+    ).repartition(8).persist()
+    few = first.filter("name IN ('read0', 'read1', 'read3')")
+    mapping = map_barcodes(table, few, second)
+    assert "skew=true" in plan(mapping.tagged)
+    assert mapping.tagged.count() == 40_000 == mapping.counters.first().mapped
+    captured = captured_counts(table.sparkSession.createDataFrame([(key,), (-5,)], "barcode bigint"))
+    located = captured_barcodes(captured, table)
+    assert "skew=true" in plan(located)
+    assert located.count() == 20_001
+    table.unpersist()
+
+
+def test_only_mates_meet_and_read1_carries_no_sequence(spark, small_partitions):
+    """Shuffled columns of the placing plan: sequences of read 2 once, of read 1 never."""
+    first, second = reads(spark, n=100)
+    mapping = map_barcodes(mask(spark, first), first, second)
+    plan_text = mapping.tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.count("SortMergeJoin") == 2
+    counted = run_counters(first, second, mask(spark, first))
+    exchanges = counted._jdf.queryExecution().executedPlan().toString()
+    assert exchanges.count("SortMergeJoin") == 1
