@@ -29,15 +29,23 @@ def qualities(prefix: str, number: str) -> Column:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, name, seq1, qual1, seq2, qual2``."""
+    return pairs_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def pairs_of(events: DataFrame, name_suffix: str | None = None) -> DataFrame:
+    """The pair of each event; a suffix column tells the names of repeated events apart."""
     number = F.col("event_id")
     umi = (
         F.when(number % 17 == 0, "NACGTACGTA")
         .when(number % 23 == 0, "AAAAAAAAAA")
         .otherwise(bases("u", "event_id", 10))
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    name = [F.lit("E"), number.cast("string")]
+    if name_suffix:
+        name += [F.lit("."), F.col(name_suffix).cast("string")]
+    return events.select(
         "event_id",
-        F.concat(F.lit("E"), number.cast("string")).alias("name"),
+        F.concat(*name).alias("name"),
         F.concat(bases("b", "user_id", 25), umi).alias("seq1"),
         F.concat(qualities("q", "event_id"), F.lit("III")).alias("qual1"),
         F.concat(bases("r", "event_id"), bases("s", "event_id")).alias("seq2"),
