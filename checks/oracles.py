@@ -251,6 +251,11 @@ ORACLES = {
     "fastq_scan": _with(R, then=_reads(1)),
     "fastq_gzip_scan": _with(R, then=_reads(2)),
     "fastq_block_gzip_scan": _with(R, then=_reads(2)),
+    "gzip_block_payload": _with(
+        R,
+        then="""select cast(sum(length('@' || name || '/2') + length(seq2) + length('+') + length(qual2) + 4) as bigint)
+        as text_bytes, true as whole, true as marked from r""",
+    ),
     "fastq_validate": """select case when event_id % 50 = 7 then 'missing separator'
         when event_id % 50 = 23 then 'quality out of range' else 'none' end as reason, count(*) as records
         from events group by 1""",

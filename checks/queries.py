@@ -6,8 +6,16 @@ Queries on files first write them with Spark, from the same tables, to a folder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap import map_barcodes, read_adapters, read_block_index, read_fastq, read_mask, synth
-from readmap import register_sources
+from readmap import (
+    map_barcodes,
+    read_adapters,
+    read_block_index,
+    read_fastq,
+    read_gzip_blocks,
+    read_mask,
+    register_sources,
+    synth,
+)
 from readmap.functions import (
     barcode_decode,
     barcode_encode,
@@ -222,6 +230,18 @@ def gzip_block_index(spark: SparkSession, sf: str) -> DataFrame:
     return read_block_index(spark, _block_gzip(spark, sf)).select("block_no", "start", "length")
 
 
+def gzip_block_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """What the blocks hold, from their raw bytes: each ends with the size of its text."""
+    blocks = read_gzip_blocks(spark, _block_gzip(spark, sf), blocksPerRow=1)
+    size = F.hex(F.substring("payload", -4, 4))  # little endian
+    size = F.concat(*[F.substring(size, k, 2) for k in (7, 5, 3, 1)])
+    return blocks.agg(
+        F.sum(F.conv(size, 16, 10).cast("bigint")).alias("text_bytes"),
+        F.bool_and(F.length("payload") == F.col("length")).alias("whole"),
+        F.bool_and(F.hex(F.substring("payload", 13, 2)) == F.hex(F.lit("IG"))).alias("marked"),
+    )
+
+
 def fastq_validate(spark: SparkSession, sf: str) -> DataFrame:
     """Records of which some lack the separator and some have an impossible quality."""
     number = F.col("event_id")
@@ -374,6 +394,7 @@ QUERIES = {
     "fastq_gzip_scan": fastq_gzip_scan,
     "fastq_block_gzip_scan": fastq_block_gzip_scan,
     "gzip_block_index": gzip_block_index,
+    "gzip_block_payload": gzip_block_payload,
     "fastq_validate": fastq_validate,
     "fastq_round_trip": fastq_round_trip,
     "tagged_fastq": tagged_fastq,

@@ -21,20 +21,21 @@ def unique_barcode_count(mask: DataFrame) -> DataFrame:
 
 def captured_counts(reads: DataFrame) -> DataFrame:
     """Reads per barcode."""
-    return reads.groupBy("barcode").agg(F.count("*").alias("reads"))
+    return reads.filter("barcode IS NOT NULL").groupBy("barcode").agg(F.count("*").alias("reads"))
 
 
 def captured_barcodes(captured: DataFrame, mask: DataFrame) -> DataFrame:
     """Captured barcodes with their coordinates, NULL for a barcode that the mask lacks.
 
-    Same rows as a left join. As two joins, so that a barcode repeated in the mask without bound can
-    be spread over tasks.
+    Same rows as a left join. In two parts, so that the positions of a barcode which the mask repeats
+    without bound are spread over tasks; both parts read the same shuffle of the captured counts.
     """
-    located = salted_join(mask, captured, "barcode", ["x", "y"]).select("barcode", "reads", "x", "y")
-    missing = unmapped_barcodes(captured, mask).select(
-        "barcode", "reads", F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y")
+    known = captured.join(_keys(mask).withColumn("_known", F.lit(True)), "barcode", "left")
+    located = salted_join(mask, known.filter("_known"), "barcode", ["x", "y"])
+    missing = known.filter("_known IS NULL").selectExpr(
+        "barcode", "reads", "cast(NULL AS int) AS x", "cast(NULL AS int) AS y"
     )
-    return located.unionByName(missing)
+    return located.select("barcode", "reads", "x", "y").unionByName(missing)
 
 
 def mapped_barcodes(captured: DataFrame, mask: DataFrame) -> DataFrame:

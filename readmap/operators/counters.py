@@ -32,75 +32,61 @@ def run_counters(
     else:
         second = salted_join(second, positions, "barcode", ["name"], "left")
 
-    one, passed = F.lit(1), (~F.col("adapter")).cast("int")
-    factors1 = {"n1": one} | _factors(layout, 1, (~F.col("short1")).cast("int"))
-    usable2 = passed * (~F.col("short2")).cast("int")
+    factors1 = {"n1": "1"} | _factors(layout, 1, "int(NOT short1)")
+    usable2 = "int(NOT adapter AND NOT short2)"
     factors2 = (
-        {"n2": one, "adapter2": F.col("adapter").cast("int")}
+        {"n2": "1", "adapter2": "int(adapter)"}
         | _factors(layout, 2, usable2)
-        | {"bases2": usable2 * F.col("read_bases"), "q30_2": usable2 * F.col("read_q30")}
+        | {"bases2": f"{usable2} * read_bases", "q30_2": f"{usable2} * read_q30"}
     )
     names = [*factors1, *factors2]
-    rows = _rows(first, factors1, names).unionByName(_rows(second, factors2, names))
+    rows = _rows(first, factors1, names).union(_rows(second, factors2, names))
     sums = rows.groupBy("name").agg(*[F.sum(n).alias(n) for n in names])
 
-    def total(left: str, right: str) -> Column:
+    def total(left: str, right: str, name: str) -> Column:
         left = f"{left}1" if f"{left}1" in factors1 else "usable1"
         right = f"{right}2" if f"{right}2" in factors2 else "usable2"
-        return F.coalesce(F.sum(F.col(left) * F.col(right)), F.lit(0))
+        return F.expr(f"coalesce(sum({left} * {right}), 0) AS {name}")
 
     counters = sums.agg(
-        total("n", "n").alias("total"),
-        total("n", "adapter").alias("adapter"),
-        total("usable", "usable").alias("_usable"),
-        total("umi_bad", "umi_bad").alias("umi_bad"),
-        total("mapped", "mapped").alias("mapped"),
-        total("barcode_q30_", "barcode_q30_").alias("bq"),
-        total("umi_q30_", "umi_q30_").alias("uq"),
-        total("usable", "q30_").alias("rq"),
-        total("usable", "bases").alias("rb"),
+        total("n", "n", "total"),
+        total("n", "adapter", "adapter"),
+        total("usable", "usable", "_usable"),
+        total("umi_bad", "umi_bad", "umi_bad"),
+        total("mapped", "mapped", "mapped"),
+        total("barcode_q30_", "barcode_q30_", "bq"),
+        total("umi_q30_", "umi_q30_", "uq"),
+        total("usable", "q30_", "rq"),
+        total("usable", "bases", "rb"),
     )
-    short = F.col("total") - F.col("adapter") - F.col("_usable")
+    short = "total - adapter - _usable"
     if layout.mode == "FAILFAST":
-        message = F.concat(short.cast("string"), F.lit(" pairs shorter than their barcode or UMI window"))
-        counters = counters.filter(
-            F.when(short > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-        )
+        message = f"concat({short}, ' pairs shorter than their barcode or UMI window')"
+        counters = counters.filter(f"CASE WHEN {short} > 0 THEN raise_error({message}) ELSE true END")
     mask_rows = mask.agg(F.count("*")).scalar()
-    return counters.select(
-        mask_rows.alias("mask_rows"),
-        "total",
-        "adapter",
-        short.alias("short_reads"),
-        "umi_bad",
-        "mapped",
-        "bq",
-        "uq",
-        "rq",
-        "rb",
+    return counters.withColumn("mask_rows", mask_rows).selectExpr(
+        "mask_rows", "total", "adapter", f"{short} AS short_reads", "umi_bad", "mapped", "bq", "uq", "rq", "rb"
     )
 
 
-def _factors(layout: ReadLayout, read: int, usable: Column) -> dict[str, Column]:
+def _factors(layout: ReadLayout, read: int, usable: str) -> dict[str, str]:
     """What a read adds to its name's sums; a read that lacks a window adds ``usable`` for it."""
     factors = {f"usable{read}": usable}
     mapped = usable
     if layout.has_umi(read):
-        bad = F.col("umi_bad").cast("int")
-        factors[f"umi_bad{read}"] = usable * bad
-        factors[f"umi_q30_{read}"] = usable * F.col("umi_q30")
-        mapped = mapped * (1 - bad)
+        factors[f"umi_bad{read}"] = f"{usable} * int(umi_bad)"
+        factors[f"umi_q30_{read}"] = f"{usable} * umi_q30"
+        mapped += " * int(NOT umi_bad)"
     if layout.has_barcode(read):
-        factors[f"barcode_q30_{read}"] = usable * F.col("barcode_q30")
-        mapped = mapped * F.coalesce("_hits", F.lit(0))
-    if layout.has_umi(read) or layout.has_barcode(read):
+        factors[f"barcode_q30_{read}"] = f"{usable} * barcode_q30"
+        mapped += " * coalesce(_hits, 0)"
+    if mapped != usable:
         factors[f"mapped{read}"] = mapped
     return factors
 
 
-def _rows(mate: DataFrame, factors: dict[str, Column], names: list[str]) -> DataFrame:
-    columns = [factors.get(n, F.lit(0)).cast("bigint").alias(n) for n in names]
-    return mate.select("name", *columns)
+def _rows(mate: DataFrame, factors: dict[str, str], names: list[str]) -> DataFrame:
+    return mate.selectExpr("name", *[f"bigint({factors.get(n, '0')}) AS {n}" for n in names])
 
 
 def stats_report(counters: DataFrame, layout: ReadLayout = ReadLayout()) -> DataFrame:

@@ -1,6 +1,7 @@
 """Barcode mapping: read pairs and a mask in, placed reads and counters out."""
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +16,46 @@ TAGGED_COLUMNS = ["name", "sequence", "quality", "umi", "umi_qual", "x", "y"]
 
 @dataclass(frozen=True)
 class Mapping:
-    """Lazy results of one run."""
-
-    pairs: DataFrame  # flagged pairs
-    tagged: DataFrame  # read 2 of each placed pair, once per coordinate of its barcode
-    counters: DataFrame  # one row
+    """Results of one run, each a lazy table that is planned when first asked for."""
+
+    mask: DataFrame
+    reads1: DataFrame
+    reads2: DataFrame
+    adapters: object
+    layout: ReadLayout
+    unique: bool
+    mismatches: int
+
+    @cached_property
+    def _mates(self) -> tuple[DataFrame, DataFrame]:
+        return mate1(self.reads1, self.layout), mate2(self.reads2, self.layout, self.adapters)
+
+    @cached_property
+    def lookup(self) -> DataFrame:
+        """Positions by barcode: the mask, with what the options take away or add."""
+        used = unique_mask(self.mask) if self.unique else self.mask
+        if not self.mismatches:
+            return used
+        holder = self._mates[0 if self.layout.has_barcode(1) else 1]
+        start = self.layout.barcode_start if self.layout.offset == "read" else 0
+        captured = captured_counts(_usable(holder, self.layout))
+        rescued = one_mismatch_map(captured, used, self.layout.barcode_len, start=start)
+        return used.unionByName(rescued.select("barcode", "x", "y"))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Flagged pairs."""
+        return flagged_pairs(*self._mates, self.layout)
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        """Read 2 of each placed pair, once per coordinate of its barcode."""
+        return tagged_reads(*self._mates, self.lookup, self.layout)
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        """One row."""
+        return run_counters(self.reads1, self.reads2, self.mask, self.layout, self.adapters, self.lookup)
 
 
 def map_barcodes(
@@ -43,21 +79,7 @@ def map_barcodes(
         raise ValueError("give either a layout or its fields")
     if mismatches not in (0, 1):
         raise ValueError("mismatches must be 0 or 1")
-    layout = layout or ReadLayout(**windows)
-    first, second = mate1(reads1, layout), mate2(reads2, layout, adapters)
-    used = unique_mask(mask) if unique else mask
-    lookup = used
-    if mismatches:
-        holder = first if layout.has_barcode(1) else second
-        captured = captured_counts(_usable(holder, layout))
-        start = layout.barcode_start if layout.offset == "read" else 0
-        rescued = one_mismatch_map(captured, used, layout.barcode_len, start=start)
-        lookup = used.unionByName(rescued.select("barcode", "x", "y"))
-    return Mapping(
-        pairs=flagged_pairs(first, second, layout),
-        tagged=tagged_reads(first, second, lookup, layout),
-        counters=run_counters(reads1, reads2, mask, layout, adapters, lookup),
-    )
+    return Mapping(mask, reads1, reads2, adapters, layout or ReadLayout(**windows), unique, mismatches)
 
 
 def tagged_reads(first: DataFrame, second: DataFrame, lookup: DataFrame, layout: ReadLayout) -> DataFrame:

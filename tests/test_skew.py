@@ -94,6 +94,7 @@ def test_hot_barcode_in_mask(spark, small_partitions):
     located = captured_barcodes(captured, table)
     assert "skew=true" in plan(located)
     assert located.count() == 20_001
+    assert "ReusedExchange" in plan(located)  # captured reads are counted once
     table.unpersist()
 
 
