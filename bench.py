@@ -11,11 +11,11 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from readmap import map_barcodes, read_fastq, read_mask, register_sources, synth
+from readmap import ReadLayout, map_barcodes, read_fastq, read_mask, register_sources, synth
 from readmap.functions import barcode_encode
 from readmap.operators import barcodes, order
 from readmap.operators.counters import run_counters
-from readmap.operators.pairing import flag_adapters, pair_reads
+from readmap.operators.pairing import flag_adapters, mate1, pair_reads
 from readmap.scratch import shared_folder
 from readmap.sinks import fastq_lines, write_tagged_fastq
 
@@ -61,9 +61,7 @@ def prepare(spark: SparkSession) -> dict:
 def benchmarks(spark: SparkSession, data: dict) -> dict:
     pairs, mask, folder = data["pairs"], data["mask"], data["folder"]
     reads1, reads2 = synth.mate(pairs, 1), synth.mate(pairs, 2)
-    captured = barcodes.captured_counts(
-        synth.with_errors(pairs).select(barcode_encode("seq1").alias("barcode"))
-    )
+    captured = barcodes.captured_counts(mate1(synth.mate(synth.with_errors(pairs), 1), ReadLayout()))
 
     def mapping():
         return map_barcodes(mask, reads1, reads2, adapters=synth.ADAPTERS)

@@ -29,7 +29,7 @@ from readmap.functions import (
 from readmap.operators import barcodes, order
 from readmap.operators.counters import run_counters, stats_report
 from readmap.operators.layout import ReadLayout
-from readmap.operators.pairing import flag_adapters, flag_adapters_by_join, pair_reads
+from readmap.operators.pairing import flag_adapters, flag_adapters_by_join, mate1, pair_reads
 from readmap.scratch import shared_folder
 from readmap.sinks import fastq_lines, qseq_lines, write_striped, write_tagged_fastq
 
@@ -288,7 +288,7 @@ def qseq(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _captured(spark: SparkSession, sf: str) -> DataFrame:
-    return barcodes.captured_counts(synth.pairs(spark, sf).select(barcode_encode("seq1").alias("barcode")))
+    return barcodes.captured_counts(mate1(synth.mates(spark, sf)[0], ReadLayout()))
 
 
 def captured_barcodes(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readmap.functions import neighbour_masks
-from readmap.operators.salting import SALTS, salted_join
+from readmap.operators.salting import every_salt, salt, salted_join
 
 
 def unique_mask(mask: DataFrame) -> DataFrame:
@@ -56,8 +56,8 @@ def one_mismatch_map(
     """
     keys = _keys(mask)
     unmapped = captured.select("barcode").distinct().join(keys, "barcode", "left_anti")
-    steps = F.explode(F.array(*[F.lit(m).cast("bigint") for m in neighbour_masks(length, masks, start)]))
-    neighbours = unmapped.select("barcode", steps.alias("_step")).select(
+    steps = ", ".join(f"bigint('{m}')" for m in neighbour_masks(length, masks, start))
+    neighbours = unmapped.select("barcode", F.explode(F.expr(f"array({steps})")).alias("_step")).select(
         "barcode", F.col("barcode").bitwiseXOR(F.col("_step")).alias("mask_barcode")
     )
     hits = neighbours.join(keys.withColumnRenamed("barcode", "mask_barcode"), "mask_barcode")
@@ -66,11 +66,8 @@ def one_mismatch_map(
     )
     nearest = nearest.filter("_n = 1").drop("_n")
     # Several barcodes may share a mask barcode, and the mask may repeat it: spread its positions.
-    salts = F.explode(F.array(*[F.lit(s).cast("bigint") for s in range(SALTS)]))
-    positions = mask.withColumnRenamed("barcode", "mask_barcode").withColumn(
-        "_salt", F.pmod(F.xxhash64("x", "y"), F.lit(SALTS))
-    )
-    placed = nearest.withColumn("_salt", salts).join(positions, ["mask_barcode", "_salt"])
+    positions = mask.withColumnRenamed("barcode", "mask_barcode").withColumn("_salt", salt(["x", "y"]))
+    placed = nearest.withColumn("_salt", every_salt()).join(positions, ["mask_barcode", "_salt"])
     return placed.select("barcode", "mask_barcode", "x", "y")
 
 

@@ -30,11 +30,11 @@ def ranked(df: DataFrame, key: Column, ranges: int = 64) -> DataFrame:
     the ranges before hold; only these totals, one row per range, meet in one task.
     """
     groups = df.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
-    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    bounds = groups.agg(F.percentile_approx("key", steps, F.lit(10000)).alias("bounds")).scalar()
-    groups = groups.withColumn("_bounds", bounds).select(
-        "key", "n", F.size(F.filter("_bounds", lambda b: b < F.col("key"))).alias("_range")
-    )
+    steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    bounds = groups.agg(F.expr(f"percentile_approx(key, array({steps}), 10000)")).scalar()
+    # Never NULL, or the join below would test it on every row before the rows are folded.
+    place = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col("key"))), F.lit(0))
+    groups = groups.withColumn("_bounds", bounds).select("key", "n", place.alias("_range"))
     totals = groups.groupBy("_range").agg(F.sum("n").alias("_total"))
     before = F.sum("_total").over(Window.orderBy("_range")) - F.col("_total")
     starts = totals.select("_range", before.alias("_before"))
