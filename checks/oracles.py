@@ -81,10 +81,10 @@ def _counters(source: str = "p") -> str:
   from {source})"""
 
 
-UNEVEN1 = """r1 as (select name, seq1, qual1 from r, range(2) t(i)
-  where event_id % 13 <> 0 and (i = 0 or event_id % 19 = 0))"""
-UNEVEN2 = """r2 as (select name, seq2, qual2 from r, range(2) t(i)
-  where event_id % 11 <> 0 and (i = 0 or event_id % 29 = 0))"""
+UNEVEN1 = """r1 as (select name || case when event_id % 13 = 0 then '-1' else '' end as name, seq1, qual1
+  from r, range(2) t(i) where i = 0 or event_id % 19 = 0)"""
+UNEVEN2 = """r2 as (select name || case when event_id % 11 = 0 then '-2' else '' end as name, seq2, qual2
+  from r, range(2) t(i) where i = 0 or event_id % 29 = 0)"""
 UNEVEN = "u as (select r1.name, seq1, qual1, seq2, qual2 from r1 join r2 on r1.name = r2.name)"
 
 # Fixed value: characters of the two quality encodings, as SQL strings.
@@ -119,7 +119,6 @@ ERRORS = """e as (
     left(seq1, cast(event_id % 25 as int))
     || translate(substring(seq1, cast(event_id % 25 as int) + 1, 1), 'ACTG', 'CTGA')
     || substring(seq1, cast(event_id % 25 as int) + 2) else seq1 end as seq1) from r)"""
-SWAPPED = "s as (select event_id, name, seq2 as seq1, qual2 as qual1, seq1 as seq2, qual1 as qual2 from r)"
 # Barcode and UMI in read 2, read 1 of no use: the pairs of ``r`` with read 1 searched for adapters.
 FROM_READ2 = _pairs().replace("seq2 as sequence, qual2 as quality", "seq1 as sequence, qual1 as quality").replace(
     ADAPTER_HIT, ADAPTER_HIT.replace("seq2", "seq1")
@@ -269,7 +268,7 @@ ORACLES = {
         from t""",
     ),
     "tagged_fastq_gzip": _with(R, M, P, T, then=f"select {TAGGED_NAME} as name, sequence, quality from t"),
-    "output_partitions": _with(R, M, P, T, then="select cast(3 as bigint) as files, count(*) as reads from t"),
+    "output_partitions": _with(R, M, P, T, then="select cast(32 as bigint) as files, count(*) as reads from t"),
     "qseq_lines": _with(
         R,
         then="""select case when length(name) % 2 = 0 then '1' else 'null' end
@@ -286,8 +285,9 @@ ORACLES = {
     "one_mismatch_ref_masks": _with(R, M, _altered(1), _one_mismatch(1, "a"), then="select * from o"),
     "distinct_reads": _with(
         R,
-        then="""select cast(1 as int) as read_no, substring(seq1, 1, 25) as sequence, substring(qual1, 1, 1) as quality,
-        count(*) as copies from r group by all""",
+        UNEVEN1,
+        then="""select cast(1 as int) as read_no, seq1 as sequence, qual1 as quality, count(*) as copies
+        from r1 group by all""",
     ),
     "mask_position_order": _with(
         M,

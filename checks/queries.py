@@ -33,7 +33,7 @@ from readmap.operators.pairing import flag_adapters, flag_adapters_by_join, mate
 from readmap.scratch import shared_folder
 from readmap.sinks import fastq_lines, qseq_lines, write_striped, write_tagged_fastq
 
-STRIPES, BUCKETS = 8, 16
+STRIPES, BUCKETS, FILES = 8, 16, 32
 
 
 def _mapping(spark, sf, **options):
@@ -88,12 +88,13 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _uneven_mates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Mates of which some are missing and some come twice."""
+    """All mates, of which some are alone with their name and some come twice."""
     pairs, number = synth.pairs(spark, sf), F.col("event_id")
 
-    def uneven(read: int, missing: int, twice: int) -> DataFrame:
+    def uneven(read: int, alone: int, twice: int) -> DataFrame:
+        name = F.when(number % alone == 0, F.concat("name", F.lit(f"-{read}"))).otherwise(F.col("name"))
         copies = F.explode(F.sequence(F.lit(1), F.when(number % twice == 0, 2).otherwise(1)))
-        return synth.mate(pairs.filter(number % missing != 0).withColumn("copy", copies), read)
+        return synth.mate(pairs.withColumn("name", name).withColumn("copy", copies), read)
 
     return uneven(1, 13, 19), uneven(2, 11, 29)
 
@@ -206,7 +207,7 @@ def adapter_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def fastq_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = _written(spark, fastq_lines(synth.suffixed(synth.mates(spark, sf)[0])))
-    return read_fastq(spark, path, maxSplitBytes=1 << 16)
+    return read_fastq(spark, path)
 
 
 def fastq_gzip_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,12 +219,12 @@ def _block_gzip(spark: SparkSession, sf: str) -> str:
     register_sources(spark)
     path = shared_folder(spark)
     lines = fastq_lines(synth.suffixed(synth.mates(spark, sf)[1]))
-    lines.write.format("gzip_blocks").option("blockBytes", 1 << 15).mode("append").save(path)
+    lines.write.format("gzip_blocks").mode("append").save(path)
     return path
 
 
 def fastq_block_gzip_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return read_fastq(spark, _block_gzip(spark, sf), blockSplitBytes=1 << 17)
+    return read_fastq(spark, _block_gzip(spark, sf))
 
 
 def gzip_block_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,7 +251,7 @@ def fastq_validate(spark: SparkSession, sf: str) -> DataFrame:
     lines = synth.pairs(spark, sf).select(
         F.concat(F.lit("@"), "name", F.lit("\n"), "seq2", F.lit("\n"), separator, F.lit("\n"), quality)
     )
-    reads = read_fastq(spark, _written(spark, lines), mode="PERMISSIVE", maxSplitBytes=1 << 16)
+    reads = read_fastq(spark, _written(spark, lines), mode="PERMISSIVE")
     reason = F.coalesce("_corrupt_reason", F.lit("none")).alias("reason")
     return reads.groupBy(reason).agg(F.count("*").alias("records"))
 
@@ -273,7 +274,7 @@ def tagged_fastq_gzip(spark: SparkSession, sf: str) -> DataFrame:
 
 def output_partitions(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
-    write_tagged_fastq(mapped(spark, sf), path, partitions=3, rebalance=True)
+    write_tagged_fastq(mapped(spark, sf), path, partitions=FILES, rebalance=True)
     lines = spark.read.text(path).select(F.input_file_name().alias("file"))
     return lines.agg(F.count_distinct("file").alias("files"), (F.count("*") / 4).cast("bigint").alias("reads"))
 
@@ -330,11 +331,7 @@ def one_mismatch_reference_masks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_reads(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads cut to barcode and three qualities, so that some are the same."""
-    reads, _ = synth.mates(spark, sf)
-    return order.distinct_reads(
-        reads.withColumn("sequence", F.substring("sequence", 1, 25)).withColumn("quality", F.substring("quality", 1, 1))
-    )
+    return order.distinct_reads(_uneven_mates(spark, sf)[0])
 
 
 # Order and layout

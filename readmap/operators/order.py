@@ -23,12 +23,15 @@ def position_ranks(positions: DataFrame) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame, key: Column, ranges: int = 64) -> DataFrame:
+def ranked(df: DataFrame, key: Column, ranges: int | None = None) -> DataFrame:
     """Distinct keys with their number of rows ``n`` and their ``rank`` (1 + rows with a smaller key).
 
     Equal keys are folded first. Ranks are counted inside ranges of similar size, then moved by what
-    the ranges before hold; only these totals, one row per range, meet in one task.
+    the ranges before hold; only these totals, one row per range, meet in one task. There are as many
+    ranges as shuffle partitions, within limits.
     """
+    if ranges is None:
+        ranges = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), 1024)
     groups = df.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
     steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
     bounds = groups.agg(F.expr(f"percentile_approx(key, array({steps}), 10000)")).scalar()

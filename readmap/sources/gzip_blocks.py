@@ -47,7 +47,7 @@ class GzipBlocksDataSource(DataSource):
     def writer(self, schema, overwrite):
         if len(schema.fields) != 1:
             raise ValueError("gzip_blocks writes one string column")
-        return BlockWriter(self.options["path"], int(self.options.get("blockBytes", 1 << 16)))
+        return BlockWriter(self.options["path"], int(self.options.get("blockBytes", 1 << 18)))
 
 
 def _indexed_files(path: str) -> list[files.SourceFile]:
