@@ -11,5 +11,6 @@ def umi_bad(umi, quality) -> Column:
     """
     umi = F.upper(F.col(umi) if isinstance(umi, str) else umi)
     quality = F.col(quality) if isinstance(quality, str) else quality
-    below_q10 = F.length(F.regexp_replace(quality, "[^\\x00-*]+", ""))
-    return F.contains(umi, F.lit("N")) | (below_q10 > 1) | (F.length(F.replace(umi, F.lit("A"), F.lit(""))) == 0)
+    two_below_q10 = F.rlike(quality, F.lit(r"[\x00-*][^\x00-*]*[\x00-*]"))
+    only_a = F.length(F.replace(umi, F.lit("A"), F.lit(""))) == 0
+    return F.contains(umi, F.lit("N")) | only_a | two_below_q10
