@@ -8,7 +8,7 @@ import bz2
 import logging
 import re
 import zlib
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,7 @@ BAD_QUALITY = "quality out of range"
 CORRUPT_ROW = to_arrow_schema(schemas.READ_PERMISSIVE)
 
 
-@dataclass
-class FastqSplit(InputPartition):
+class FastqSplit(NamedTuple):
     uri: str
     start: int
     end: int
@@ -93,9 +92,10 @@ class FastqReader(DataSourceReader):
         self.block_split_bytes = block_split_bytes
         self.max_line = max_line
 
-    def partitions(self) -> list[FastqSplit]:
+    def partitions(self) -> list[InputPartition]:
         found = [f for f in files.list_files(self.path, skip=(".idx",)) if f.size]
-        return [split for splits in files.on_each(found, self._splits) for split in splits]
+        # Plain tuples: classes of this package travel by value, and there may be a million splits.
+        return [InputPartition(tuple(s)) for splits in files.on_each(found, self._splits) for s in splits]
 
     def _splits(self, file: files.SourceFile) -> list[FastqSplit]:
         with files.open_file(file.uri) as handle:
@@ -111,9 +111,10 @@ class FastqReader(DataSourceReader):
             LOG.error("no index %s.idx: the file is read by one task", file.uri)
         return [FastqSplit(file.uri, 0, file.size, file.size, codec)]
 
-    def read(self, split: FastqSplit):
-        if split is None:  # no file, no partition
+    def read(self, partition: InputPartition):
+        if partition is None:  # no file, no partition
             return
+        split = FastqSplit(*partition.value)
         with files.open_file(split.uri) as handle:
             if split.codec:
                 start, pieces = 0, _decompressed(handle, split)

@@ -1,22 +1,14 @@
 """Table of the blocks of indexed block gzip files, and a writer of such files."""
 
-from dataclasses import dataclass
-
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from readmap import schemas
 from readmap.sources import files
-from readmap.sources.block_gzip import BlockGroup, group_blocks, load_index, pack_member
+from readmap.sources.block_gzip import group_blocks, load_index, pack_member
 from readmap.sources.parts import PartWriter, WrittenPart
 
 
-@dataclass
-class BlockSplit(InputPartition):
-    uri: str
-    groups: list[BlockGroup]
-
-
 class GzipBlocksDataSource(DataSource):
     """``format('gzip_blocks')``.
 
@@ -66,15 +58,16 @@ class BlockIndexReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        return [BlockSplit(f.uri, []) for f in _indexed_files(self.path)]
+        return [InputPartition(f.uri) for f in _indexed_files(self.path)]
 
-    def read(self, split):
-        if split is None:
+    def read(self, partition):
+        if partition is None:
             return
-        index = load_index(split.uri)
+        uri = partition.value
+        index = load_index(uri)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.repeat(pa.scalar(split.uri), len(index)),
+                pa.repeat(pa.scalar(uri), len(index)),
                 pa.array(range(len(index)), pa.int32()),
                 pa.array(index[:, 0], pa.int64()),
                 pa.array(index[:, 1], pa.int64()),
@@ -93,30 +86,32 @@ class BlockGroupReader(DataSourceReader):
 
     def partitions(self):
         found = _indexed_files(self.path)
-        return [split for splits in files.on_each(found, self._splits) for split in splits]
+        return [InputPartition(split) for splits in files.on_each(found, self._splits) for split in splits]
 
-    def _splits(self, file: files.SourceFile) -> list[BlockSplit]:
-        splits, size = [BlockSplit(file.uri, [])], 0
+    def _splits(self, file: files.SourceFile) -> list[tuple[str, list[tuple[int, int, int]]]]:
+        """Groups of blocks as (number, start, length), as many to a task as ``maxSplitBytes`` allows."""
+        splits, size = [(file.uri, [])], 0
         for group in group_blocks(load_index(file.uri), max_blocks=self.blocks_per_row):
-            if splits[-1].groups and size + group.length > self.split_bytes:
-                splits.append(BlockSplit(file.uri, []))
+            if splits[-1][1] and size + group.length > self.split_bytes:
+                splits.append((file.uri, []))
                 size = 0
-            splits[-1].groups.append(group)
+            splits[-1][1].append((group.number, group.start, group.length))
             size += group.length
         return splits
 
-    def read(self, split):
-        if split is None:
+    def read(self, partition):
+        if partition is None:
             return
-        with files.open_file(split.uri) as handle:
-            for group in split.groups:
-                payload = handle.read_at(group.length, group.start)
+        uri, groups = partition.value
+        with files.open_file(uri) as handle:
+            for number, start, length in groups:
+                payload = handle.read_at(length, start)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([split.uri]),
-                        pa.array([group.number], pa.int32()),
-                        pa.array([group.start], pa.int64()),
-                        pa.array([group.length], pa.int64()),
+                        pa.array([uri]),
+                        pa.array([number], pa.int32()),
+                        pa.array([start], pa.int64()),
+                        pa.array([length], pa.int64()),
                         pa.array([payload], pa.binary()),
                     ],
                     names=schemas.BLOCK_GROUP.names,

@@ -1,7 +1,5 @@
 """Chip masks: barcode key to coordinate, in binary or text files."""
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +15,6 @@ RECORD = np.dtype([("barcode", "<i8"), ("x", "<i4"), ("y", "<i4")])
 BATCH_RECORDS = 1 << 18
 
 
-@dataclass
-class MaskSplit(InputPartition):
-    uri: str
-    start: int
-    end: int
-
-
 class MaskBinDataSource(DataSource):
     """``format('mask_bin')``; option ``maxSplitBytes`` per read task."""
 
@@ -55,15 +46,16 @@ class MaskBinReader(DataSourceReader):
         for file in files.list_files(self.path):
             if file.size % RECORD.itemsize:
                 raise ValueError(f"{file.uri}: size {file.size} is not a multiple of {RECORD.itemsize}")
-            splits += [MaskSplit(file.uri, a, b) for a, b in files.byte_ranges(file.size, self.step)]
+            splits += [InputPartition((file.uri, a, b)) for a, b in files.byte_ranges(file.size, self.step)]
         return splits
 
-    def read(self, split):
-        if split is None:
+    def read(self, partition):
+        if partition is None:
             return
-        with files.open_file(split.uri) as handle:
-            for start in range(split.start, split.end, BATCH_RECORDS * RECORD.itemsize):
-                length = min(BATCH_RECORDS * RECORD.itemsize, split.end - start)
+        uri, first, end = partition.value
+        with files.open_file(uri) as handle:
+            for start in range(first, end, BATCH_RECORDS * RECORD.itemsize):
+                length = min(BATCH_RECORDS * RECORD.itemsize, end - start)
                 records = np.frombuffer(handle.read_at(length, start), RECORD)
                 columns = [pa.array(np.ascontiguousarray(records[n])) for n in RECORD.names]
                 yield pa.RecordBatch.from_arrays(columns, names=list(RECORD.names))
