@@ -63,7 +63,8 @@ def _pairs(source: str = "r") -> str:
 
 
 P = _pairs()
-TAGGED = "select name, sequence, quality, umi, umi_qual, x, y from p join {mask} using (barcode) where not adapter and not umi_bad"
+TAGGED = """select name, sequence, quality, umi, umi_qual, x, y
+  from p join {mask} using (barcode) where not adapter and not umi_bad"""
 T = "t as (" + TAGGED.format(mask="m") + ")"
 UNIQUE = "unique_m as (select barcode, min(x) as x, min(y) as y from m group by barcode having count(*) = 1)"
 

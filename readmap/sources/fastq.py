@@ -13,8 +13,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from readmap import schemas
 from readmap.functions.quality import quality_range
@@ -34,6 +34,7 @@ NO_SEPARATOR = "missing separator"
 TRUNCATED = "truncated record"
 BAD_QUALITY = "quality out of range"
 
+ID_LINE = re.compile(rb"[^\r\n]*")
 CORRUPT_ROW = to_arrow_schema(schemas.READ_PERMISSIVE)
 
 
@@ -196,8 +197,10 @@ def align(handle, offset: int, size: int) -> int:
         begin = offset - 1  # the byte before tells whether a line starts here
         stop = min(size, begin + window)
         data = np.frombuffer(handle.read_at(stop - begin, begin), np.uint8)
-        starts = _line_starts(data, at_end=stop == size)
-        found = _record_starts(data, starts)
+        starts = _line_ends(data, at_end=stop == size) + 1
+        starts = starts[starts < len(data)]
+        firsts = data[starts]
+        found = np.flatnonzero((firsts[:-2] == AT) & (firsts[2:] == PLUS))
         if len(found):
             return begin + int(starts[found[0]])
         if stop == size:
@@ -217,17 +220,6 @@ def _line_ends(data: np.ndarray, at_end: bool) -> np.ndarray:
     return ends
 
 
-def _line_starts(data: np.ndarray, at_end: bool) -> np.ndarray:
-    starts = _line_ends(data, at_end) + 1
-    return starts[starts < len(data)]
-
-
-def _record_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Indexes into line starts at which a record starts."""
-    first = data[starts]
-    return np.flatnonzero((first[:-2] == AT) & (first[2:] == PLUS))
-
-
 class RecordParser:
     """Turns the bytes of one split into Arrow batches."""
 
@@ -245,58 +237,63 @@ class RecordParser:
         if rest:
             rest = yield from self._parse(rest, at_end=True)
         if rest:
-            yield from self._corrupt(TRUNCATED, rest)
+            yield from self._corrupt(TRUNCATED, rest, [0])
 
     def _parse(self, raw: bytes, at_end: bool):
-        """Batches of the complete records of a buffer; returns the bytes left."""
+        """Batches of the complete records of a buffer; returns the bytes left.
+
+        The buffer is searched for lines once. Broken records cost a look at the first bytes of the
+        lines that follow, not at the lines.
+        """
         if at_end and raw[-1] not in (NEWLINE, RETURN):
             raw += b"\n"
-        while raw:
+        data = np.frombuffer(raw, np.uint8)
+        ends = _line_ends(data, at_end)
+        starts = np.concatenate(([0], ends + 1))
+        firsts = data[starts[starts < len(data)]]  # of the last line too, though it may go on
+        anchors = np.flatnonzero((firsts[:-2] == AT) & (firsts[2:] == PLUS))
+        runs, broken, line = [], [], 0
+        while True:
             if self.skipping:
-                raw = self._skip(raw, at_end)
-                if self.skipping:
-                    return raw
-            data = np.frombuffer(raw, np.uint8)
-            ends = _line_ends(data, at_end)
-            lines = len(ends) // 4 * 4
-            starts = np.concatenate(([0], ends[:lines] + 1))
-            broken = np.flatnonzero(data[starts[2:lines:4]] != PLUS)
-            good = int(broken[0]) if len(broken) else lines // 4
-            yield from self._records(raw, data, starts[: 4 * good], ends[: 4 * good])
-            done = int(starts[4 * good])
-            raw, self.offset = raw[done:], self.offset + done
-            if not len(broken):
-                return raw
-            yield from self._corrupt(NO_SEPARATOR, raw)
+                k = int(np.searchsorted(anchors, line))
+                if k == len(anchors):  # the last two lines may still turn out to be a record's first
+                    line = len(starts) - 1 if at_end else max(line, len(firsts) - 2)
+                    break
+                line, self.skipping = int(anchors[k]), False
+            count = (len(ends) - line) // 4
+            wrong = firsts[line + 2 : line + 4 * count : 4] != PLUS
+            stop = int(wrong.argmax()) if wrong.any() else count
+            runs.append(np.arange(line, line + 4 * stop, 4))
+            line += 4 * stop
+            if stop == count:
+                break
+            broken.append(line)
             self.skipping = True
-        return raw
-
-    def _skip(self, raw: bytes, at_end: bool) -> bytes:
-        """Drop bytes up to the next record start, or as far as it is certain that there is none."""
-        data = np.frombuffer(raw, np.uint8)
-        starts = np.concatenate(([0], _line_starts(data, at_end)))
-        found = _record_starts(data, starts)
-        self.skipping = not len(found)
-        if len(found):
-            done = int(starts[found[0]])
-        else:
-            done = len(raw) if at_end else int(starts[max(0, len(starts) - 2)])
+        if broken and not self.options.permissive:
+            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken[:1]])
+        yield from self._records(raw, data, starts, ends, np.concatenate(runs) if runs else ())
+        if broken:
+            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken])
+        done = int(starts[line])
         self.offset += done
         return raw[done:]
 
-    def _records(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Batch of the records whose lines begin at ``starts`` and have their last byte at ``ends``."""
-        count = len(starts) // 4
+    def _records(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lines: np.ndarray):
+        """Batch of the records that begin with these lines."""
+        count = len(lines)
         if not count:
             return
-        stops = ends - ((data[ends] == NEWLINE) & (ends > starts) & (data[ends - 1] == RETURN))
-        begins = [starts[0::4] + 1, starts[1::4], starts[3::4]]
-        stops = [np.maximum(stops[0::4], begins[0]), stops[1::4], stops[3::4]]
+        begins = [starts[lines] + 1, starts[lines + 1], starts[lines + 3]]
+        stops = []
+        for k, begin in zip((0, 1, 3), begins):
+            last = ends[lines + k]
+            returned = (data[last] == NEWLINE) & (last > begin) & (data[last - 1] == RETURN)
+            stops.append(np.maximum(last - returned, begin))
         if self.options.max_line:
             stops = [np.minimum(stop, begin + self.options.max_line) for begin, stop in zip(begins, stops)]
         read_no, stops[0] = _read_numbers(data, begins[0], stops[0])
         names, sequences, qualities = _gather(raw, begins, stops)
-        offsets = self.offset + starts[0::4]
+        offsets = self.offset + starts[lines]
         bad = self._bad_qualities(qualities)
         if len(bad) and not self.options.permissive:
             k = int(bad[0])
@@ -326,14 +323,17 @@ class RecordParser:
         wrong = np.flatnonzero((data < self.low) | (data > self.high))
         return np.unique(np.searchsorted(offsets, wrong, side="right") - 1)
 
-    def _corrupt(self, reason: str, raw: bytes):
-        """Row for the broken record at the start of a buffer."""
-        name = re.match(rb"[^\r\n]*", raw[1:])[0].decode("utf-8", "replace")
+    def _corrupt(self, reason: str, raw: bytes, positions):
+        """Rows for the broken records that start at these positions of a buffer."""
+        names = [ID_LINE.match(raw, int(p) + 1)[0].decode("utf-8", "replace") for p in positions]
         if not self.options.permissive:
-            self._fail(reason, self.offset, name)
-        row = {f: None for f in self._names()}
-        row |= {"name": name, "_corrupt_reason": reason, "_file": self.uri, "_offset": self.offset}
-        yield pa.RecordBatch.from_pylist([row], schema=CORRUPT_ROW)
+            self._fail(reason, self.offset + int(positions[0]), names[0])
+        rows = [
+            dict.fromkeys(self._names())
+            | {"name": name, "_corrupt_reason": reason, "_file": self.uri, "_offset": self.offset + int(position)}
+            for name, position in zip(names, positions)
+        ]
+        yield pa.RecordBatch.from_pylist(rows, schema=CORRUPT_ROW)
 
     def _fail(self, reason: str, offset: int, name):
         raise ValueError(f"{reason} in fastq record at {self.uri}:{offset}, id: {name}")

@@ -101,11 +101,26 @@ def test_offsets_of_broken_records(tmp_path):
     good, bad = "@a\nACGT\n+\nIIII\n", "@b\nACGT\nx\nIIII\n"
     (tmp_path / "r.fq").write_text(good + bad + good + bad + good)
     for size in (1, 10, 17, 1000):
-        got = rows(tmp_path / "r.fq", permissive=True, split_bytes=size)
+        got = sorted(rows(tmp_path / "r.fq", permissive=True, split_bytes=size), key=lambda r: r[6])
         assert [r[6] for r in got] == [0, 15, 30, 45, 60]
         assert [r[4] for r in got] == [None, "missing separator", None, "missing separator", None]
 
 
+def test_many_broken_records_in_pieces_of_any_size(tmp_path, monkeypatch):
+    rng = random.Random(5)
+    kinds = [rng.random() < 0.3 for _ in range(300)]
+    kinds = [bad and not before for bad, before in zip(kinds, [False, *kinds])]  # never two in a row
+    lines = [f"@r{i}\nACGT\n{'x' if bad else '+'}\n@III\n" for i, bad in enumerate(kinds)]
+    (tmp_path / "r.fq").write_text("".join(lines))
+    starts = [sum(map(len, lines[:i])) for i in range(300)]
+    want = [(f"r{i}", "missing separator" if bad else None, starts[i]) for i, bad in enumerate(kinds)]
+    for size in (1, 2, 5, 16, 17, 100, 1 << 20):
+        monkeypatch.setattr("readmap.sources.fastq.READ_BYTES", size)
+        for split in (50, 333, 1 << 20):
+            got = rows(tmp_path / "r.fq", permissive=True, split_bytes=split)
+            assert sorted(((r[0], r[4], r[6]) for r in got), key=lambda r: r[2]) == want
+
+
 def test_illumina_input(tmp_path):
     (tmp_path / "r.fq").write_text("@a\nAC\n+\n@~\n@b\nACG\n+\nhhh\n")
     assert [r[3] for r in rows(tmp_path / "r.fq", encoding="illumina")] == ["!_", "III"]

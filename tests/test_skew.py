@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import plain
 from readmap import map_barcodes
+from readmap.functions import barcode_encode
 from readmap.operators.barcodes import captured_barcodes, captured_counts
 
 HOT = "G" * 25
@@ -50,9 +51,8 @@ def reads(spark, n=30_000, hot_names=False):
 
 
 def mask(spark, first):
-    known = first.select(F.substring("sequence", 1, 25).alias("b")).distinct().filter("hash(b) % 2 = 0 OR b LIKE 'GGGGGGGGGG%'")
-    from readmap.functions import barcode_encode
-
+    known = first.select(F.substring("sequence", 1, 25).alias("b")).distinct()
+    known = known.filter(f"hash(b) % 2 = 0 OR b = '{HOT}'")
     return known.select(
         barcode_encode("b").alias("barcode"), F.lit(1).alias("x"), (F.hash("b") % 100).alias("y")
     )
