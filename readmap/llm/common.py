@@ -22,3 +22,10 @@ def parked(frame: DataFrame) -> DataFrame:
 def worker_state() -> types.ModuleType:
     """A namespace that lives as long as the Python worker; functions are shipped anew with each task."""
     return sys.modules.setdefault("_readmap_worker", types.ModuleType("_readmap_worker"))
+
+
+def bounded(frame: DataFrame, rows: int) -> DataFrame:
+    """The table marked for broadcast if it has at most so many rows, otherwise as it is; it is counted."""
+    from pyspark.sql.functions import broadcast
+
+    return broadcast(frame) if frame.count() <= rows else frame

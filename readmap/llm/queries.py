@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readmap.llm import packing, token_file, topk_search
+from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
 from readmap.scratch import shared_folder
 
@@ -34,7 +35,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k_search, op6_token_file, op7_best_fit_packing)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k_search, op6_token_file, op7_best_fit_packing, op10_near_duplicates)}
 
 ORACLES = {
     "op1_top_k_search": """
