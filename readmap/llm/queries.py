@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap.llm import packing, token_file, topk_search
+from readmap.llm import packing, quality, token_file, topk_search
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
 from readmap.scratch import shared_folder
@@ -16,6 +16,18 @@ def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors.filter("vec_id % 100 = 0"), vectors, k=10)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a classifier fitted on labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids and read back."""
     import public_tokenizers
@@ -40,7 +52,16 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k_search, op6_token_file, op7_best_fit_packing, op10_near_duplicates)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_top_k_search,
+        op2_quality_classifier,
+        op6_token_file,
+        op7_best_fit_packing,
+        op10_near_duplicates,
+    )
+}
 
 ORACLES = {
     "op1_top_k_search": """
