@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from readmap.llm.shingles import mixed
 from readmap.llm.tokens import utf8
@@ -175,5 +176,4 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             yield batch.append_column(column, pa.array(values, pa.float64()))
 
     docs = docs.drop(column)
-    schema = docs.schema.add(column, "double")
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(column, DoubleType())]))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from readmap.llm import packing, quality, token_file, topk_search
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
+from readmap.llm.decontamination import contaminated
 from readmap.scratch import shared_folder
 
 
@@ -28,6 +29,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of documents that are a benchmark item within a few edits."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids and read back."""
     import public_tokenizers
@@ -57,6 +63,7 @@ QUERIES = {
     for f in (
         op1_top_k_search,
         op2_quality_classifier,
+        op4_benchmark_passages,
         op6_token_file,
         op7_best_fit_packing,
         op10_near_duplicates,
