@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readmap.llm import packing, quality, token_file, topk_search
+from readmap.llm.line_dedup import line_report
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
 from readmap.llm.decontamination import contaminated
@@ -34,6 +35,11 @@ def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that an earlier line repeats, exactly or within two edits."""
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids and read back."""
     import public_tokenizers
@@ -64,6 +70,7 @@ QUERIES = {
         op1_top_k_search,
         op2_quality_classifier,
         op4_benchmark_passages,
+        op5_line_dedup,
         op6_token_file,
         op7_best_fit_packing,
         op10_near_duplicates,
