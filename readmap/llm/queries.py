@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap.llm import packing, quality, token_file, topk_search
+from readmap.llm import license_scan, packing, quality, token_file, topk_search
 from readmap.llm.line_dedup import line_report
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
@@ -30,6 +30,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in each document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions of documents that are a benchmark item within a few edits."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +74,7 @@ QUERIES = {
     for f in (
         op1_top_k_search,
         op2_quality_classifier,
+        op3_license_scan,
         op4_benchmark_passages,
         op5_line_dedup,
         op6_token_file,
@@ -78,6 +84,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_license_scan": license_scan.oracle(),
     "op1_top_k_search": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as c
