@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap.llm import license_scan, packing, quality, token_file, topk_search
+from readmap.llm import html_text, license_scan, packing, quality, token_file, topk_search
 from readmap.llm.line_dedup import line_report
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
@@ -64,6 +64,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extracted(pages, html_text.fit(pages))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
@@ -79,6 +85,7 @@ QUERIES = {
         op5_line_dedup,
         op6_token_file,
         op7_best_fit_packing,
+        op8_html_text,
         op10_near_duplicates,
     )
 }
