@@ -8,6 +8,7 @@ from readmap.llm.line_dedup import line_report
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
 from readmap.llm.decontamination import contaminated
+from readmap.llm.repeats import repeated_spans
 from readmap.scratch import shared_folder
 
 
@@ -70,6 +71,11 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(pages, html_text.fit(pages))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of documents that other documents have as well."""
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
@@ -86,6 +92,7 @@ QUERIES = {
         op6_token_file,
         op7_best_fit_packing,
         op8_html_text,
+        op9_repeated_passages,
         op10_near_duplicates,
     )
 }
