@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,17 +236,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
     regions do not overlap. NULL and empty texts, and items without a letter or digit, match nothing. Equal rows
     of ``benchmark`` count once; other rows, NULL ids too, stand for themselves. Empty tables give no rows.
     """
-    docs = docs.select("doc_id", "text")
+    docs, found = docs.select("doc_id", "text"), None
+    for index in _indexes(benchmark, rate, block_bytes):
+        one = docs.mapInArrow(_search(index), FOUND)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs``, with all columns, without the rows in which ``contaminated`` finds a region."""
+    for index in _indexes(benchmark, rate, block_bytes):
+        docs = docs.mapInArrow(_clean(index), docs.schema)
+    return docs
+
+
+def _indexes(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[Broadcast]:
+    """Broadcast indexes, each of about ``block_bytes`` of items."""
     items = benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    found = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         rows = sorted(((r.item_id, r.text.encode()) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        one = docs.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(Index(rows, rate))), FOUND)
-        found = one if found is None else found.unionByName(one)
-    return found
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(rows, rate))
+
+
+def _clean(shared):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column("text"))
+            keep = np.ones(len(texts), bool)
+            for start in range(0, len(texts), 1000):
+                keep[[start + found[0] for found in shared.value.find(texts[start : start + 1000])]] = False
+            yield batch.filter(pa.array(keep))
+
+    return clean
 
 
 def _search(shared):

@@ -34,7 +34,7 @@ MARGIN = 0.2
 #: Rows of a table of ids that is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
-SKETCHED = "doc_id long, n_shingles long, key binary, sketch array<long>, bands array<long>"
+SKETCHED = "doc_id long, text_hash long, n_shingles long, key binary, sketch array<long>, bands array<long>"
 
 
 def _constants(seed: int) -> np.ndarray:
@@ -88,10 +88,10 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
                     row = (len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()), odd_sketch(samples), band_keys(samples))
                 for column, value in zip(columns, row):
                     column.append(value)
-            arrays = [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, kinds))]
-            yield pa.record_batch(arrays, ["doc_id", "n_shingles", "key", "sketch", "bands"])
+            arrays = [batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(c, t) for c, t in zip(columns, kinds))]
+            yield pa.record_batch(arrays, ["doc_id", "text_hash", "n_shingles", "key", "sketch", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, SKETCHED)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(sketch, SKETCHED)
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -122,6 +122,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     that repeat an id are documents of their own. ``percent`` is 50 to 100: the bands are made for high similarity.
     Only ``doc_id`` and ``text`` are read.
     """
+    return _judged(docs, shingle_words, percent).drop("text_hash")
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep; of rows equal in id and text, one stays.
+
+    All columns stay. Rows with a NULL id stay, as do empty texts, unless such a row is repeated.
+    """
+    judged = parked(_judged(docs, shingle_words, percent))
+    keys = ["_doc_id", "_text_hash"]
+    places = judged.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
+    same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_text_hash") == F.xxhash64("text"))
+    removed = bounded(places.filter("NOT kept").select(*keys), BROADCAST_ROWS)
+    repeated = bounded(parked(places.filter("kept").groupBy(*keys).count().filter("count > 1").select(*keys)), BROADCAST_ROWS)
+    stay = docs.join(removed, same, "left_anti")
+    once = stay.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.join(repeated, same, "left_anti").unionByName(once)
+
+
+def _judged(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     docs = docs.select("doc_id", "text")
@@ -137,8 +157,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = parked(named.join(least, "label").select("key", "component_id"))
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    found = sketched.filter(~alone).select("doc_id", "n_shingles", "key").join(named, "key").drop("key")
-    rest = sketched.filter(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    columns = ["doc_id", "text_hash", "n_shingles"]
+    found = sketched.filter(~alone).select(*columns, "key").join(named, "key").drop("key")
+    rest = sketched.filter(alone).select(*columns, F.col("doc_id").alias("component_id"))
     return found.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
