@@ -1,0 +1,83 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from readmap.llm import packing
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def check(rows, capacity):
+    """Sequences are gapless from 0 and not too long; returns how many there are."""
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def pieces(spark, lengths):
+    rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+
+
+def test_cut():
+    assert packing.cut(1, 4) == [(0, 1)] and packing.cut(4, 4) == [(0, 4)]
+    assert packing.cut(5, 4) == [(0, 1), (1, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)]
+    assert packing.cut(11, 4) == [(0, 3), (3, 4), (7, 4)]
+
+
+def test_best_fit_is_tight():
+    bins, offsets, filled = packing.best_fit(np.array([6, 5, 5, 4, 3, 3, 2, 2]), 10)
+    assert filled.tolist() == [10, 10, 10] and sorted(zip(bins, offsets))[0] == (0, 0)
+
+
+@pytest.mark.parametrize("low, high, bound", [(1, 1024, 1.025), (1, 60, 1.01), (513, 1024, None), (1024, 1024, 1.0)])
+def test_rounds_pack_well(spark, low, high, bound):
+    dice = random.Random(low)
+    lengths = [dice.randint(low, high) for _ in range(4000)]
+    rows = packing.pack(pieces(spark, lengths), 1024, group_rows=1000).collect()
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in rows) == [(i, n, i) for i, n in enumerate(lengths)]
+    least = len(lengths) if bound is None else -(-sum(lengths) // 1024)
+    assert check(rows, 1024) <= least * (bound or 1.0) + 1
+
+
+def test_as_few_sequences_as_one_best_fit(spark):
+    dice = random.Random(7)
+    lengths = [min(1024, int(dice.lognormvariate(5.5, 1))) for _ in range(6000)]
+    lengths = [max(1, n) for n in lengths]
+    n = check(packing.pack(pieces(spark, lengths), 1024, group_rows=500).collect(), 1024)
+    single = len(packing.best_fit(np.array(lengths), 1024)[2])
+    assert n <= single * 1.005 + 1
+
+
+def test_documents(spark):
+    data = [(1, "one two"), (2, None), (3, ""), (None, "no id"), (1, "one two"), (4, "many words " * 3000), (5, "é\n\n x")]
+    docs = spark.createDataFrame([(*d, 0) for d in data], "doc_id long, text string, length int")
+    rows = packing.pack_documents(docs, BYTE, 64).collect()
+    tokenizer = Tokenizer.from_file(BYTE)
+    want = []
+    for doc_id, text in data:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        for k, (start, length) in enumerate(packing.cut(len(ids), 64)):
+            part = np.array(ids[start : start + length], "<u4").tobytes()
+            want.append((doc_id or 0, k, start, length, zlib.crc32(part)))
+    assert sorted((r.doc_id or 0, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
+    check(rows, 64)
+    assert packing.pack_documents(docs.limit(0), BYTE).collect() == []
+
+
+def test_no_sequence_id_twice(spark):
+    rows = packing.pack(pieces(spark, [1024] * 50 + [1000] * 50 + [24] * 50), 1024, group_rows=20)
+    assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+    assert check(rows.collect(), 1024) <= 102

@@ -1,0 +1,80 @@
+import collections
+import random
+
+import numpy as np
+import pytest
+
+from readmap.llm import repeats
+
+
+def corpus(seed):
+    dice = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    pool = [dice.choices(words, k=dice.randint(30, 90)) for _ in range(12)]
+    texts = []
+    for d in range(90):
+        text = []
+        for _ in range(dice.randint(0, 4)):
+            passage, a, b = dice.choice(pool), dice.randint(0, 10), dice.randint(0, 10)
+            text += dice.choices(words, k=dice.randint(0, 60)) + passage[a : len(passage) - b]
+        texts.append(text + ["x"] * 80 * (d % 17 == 0))
+    texts[5], texts[7] = texts[6][:], []
+    return texts
+
+
+def covered(text, size, owners):
+    marks = np.zeros(len(text), bool)
+    for i in range(len(text) - size + 1):
+        if len(owners[tuple(text[i : i + size])]) > 1:
+            marks[i : i + size] = True
+    return marks
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_agrees_with_all_windows(spark, seed):
+    texts = corpus(seed)
+    data = [(i, " \n".join(t)) for i, t in enumerate(texts)] + [(10, " \n".join(texts[10])), (500, None)]
+    docs = spark.createDataFrame([(*d, 1) for d in data], "doc_id long, text string, place int")
+    found = repeats.repeated_spans(docs).collect()
+    owners = {size: collections.defaultdict(set) for size in (repeats.PASSAGE, repeats.SHARED)}
+    for size, seen in owners.items():
+        for d, t in enumerate(texts):
+            for i in range(len(t) - size + 1):
+                seen[tuple(t[i : i + size])].add(d)
+    by_doc = collections.defaultdict(list)
+    for r in found:
+        by_doc[r.doc_id].append(r)
+        text = data[r.doc_id][1]
+        assert text[r.start : r.end].split() == texts[r.doc_id][r.first_word : r.first_word + r.n_words]
+        assert r.n_words >= repeats.PASSAGE
+    for d, t in enumerate(texts):
+        marks = np.zeros(len(t), bool)
+        for r in by_doc[d]:
+            marks[r.first_word : r.first_word + r.n_words] = True
+        must, may = (covered(t, size, owners[size]) for size in (repeats.PASSAGE, repeats.SHARED))
+        assert not (must & ~marks).any() and not (marks & ~may).any()
+
+
+def test_one_of_each_passage_is_first(spark):
+    passage = " ".join(f"p{i}" for i in range(70))
+    docs = spark.createDataFrame([(i, f"a{i} {passage} b{i}") for i in range(30)], "doc_id long, text string")
+    rows = repeats.repeated_spans(docs).collect()
+    assert [(r.first_word, r.n_words) for r in rows] == [(1, 70)] * 30
+    assert sum(r.is_first for r in rows) == 1
+
+
+def test_unusual_rows(spark):
+    passage = "É " + " ".join(f"p{i}" for i in range(70))
+    data = [(None, passage), (1, passage), (1, passage), (2, ""), (3, None), (4, "x " * 60_000), (5, passage.upper()), (6, "own " * 3 + "word")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    rows = repeats.repeated_spans(docs).collect()
+    assert sorted((r.doc_id or 0, r.first_word, r.n_words, r.start, r.end) for r in rows) == [(d, 0, 71, 0, len(passage)) for d in (0, 1, 1, 5)]
+    assert repeats.repeated_spans(docs.limit(0)).collect() == []
+    # A document and its repeated row are one: nobody else has the passage.
+    assert repeats.repeated_spans(docs.filter("doc_id = 1")).collect() == []
+
+
+def test_neighbours_of_other_documents():
+    around = repeats._matrix([np.array(w, ">u8").tobytes() for w in ([1], [1, 2], [1, 2, 3], [1, 2, 3], [5])])
+    keys, docs = np.array([1, 1, 1, 1, 2]), np.array([1, 2, 2, 3, 3])
+    assert repeats._shared_words(keys, docs, around).tolist() == [1, 2, 3, 3, 0]
