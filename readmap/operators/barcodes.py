@@ -47,10 +47,18 @@ def unmapped_barcodes(captured: DataFrame, mask: DataFrame) -> DataFrame:
 
 
 def one_mismatch_map(
-    captured: DataFrame, mask: DataFrame, length: int = 25, masks: str = "base", start: int = 0
+    captured: DataFrame,
+    mask: DataFrame,
+    length: int = 25,
+    masks: str = "base",
+    start: int = 0,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Coordinates for unmapped barcodes that are one mismatch away from exactly one mask barcode.
 
+    What is unmapped, and how many neighbours it has, is decided by the whole mask. Coordinates come
+    from ``positions`` where given, a part of the mask: a barcode whose neighbour that lacks has none.
+
     Each unmapped barcode is spelled out into its neighbours (75 for 25 bases) and these are looked
     up by equality, so work grows with the number of distinct unmapped barcodes, never with pairs.
     """
@@ -66,7 +74,7 @@ def one_mismatch_map(
     )
     nearest = nearest.filter("_n = 1").drop("_n")
     # Several barcodes may share a mask barcode, and the mask may repeat it: spread its positions.
-    positions = mask.withColumnRenamed("barcode", "mask_barcode").withColumn("_salt", salt(["x", "y"]))
+    positions = (mask if positions is None else positions).withColumnRenamed("barcode", "mask_barcode").withColumn("_salt", salt(["x", "y"]))
     placed = nearest.withColumn("_salt", every_salt()).join(positions, ["mask_barcode", "_salt"])
     return placed.select("barcode", "mask_barcode", "x", "y")
 

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from readmap.functions import barcode_encode, has_adapter, q30_bases, umi_bad
 from readmap.operators.layout import ReadLayout
-from readmap.operators.salting import salted_join
-
-# Adapters up to this number become part of the plan, more are joined.
-INLINE_ADAPTERS = 256
 
 
 def pair_reads(reads1: DataFrame, reads2: DataFrame) -> DataFrame:
@@ -46,14 +42,36 @@ def _too_short(layout: ReadLayout, read: int) -> Column:
     return F.least(*[F.coalesce(F.length(c), F.lit(0)) for c in ("sequence", "quality")]) < needed
 
 
+def whole_reads(reads: DataFrame) -> DataFrame:
+    """Reads without the rows that a PERMISSIVE scan gives for broken records, and without NULL texts."""
+    if "_corrupt_reason" in reads.columns:
+        reads = reads.filter("_corrupt_reason IS NULL")
+    return reads.filter("sequence IS NOT NULL AND quality IS NOT NULL")
+
+
+def broken_reads(reads1: DataFrame, reads2: DataFrame) -> DataFrame:
+    """``read_no, reason, records``: what ``whole_reads`` leaves out, by mate."""
+    counts = []
+    for number, reads in enumerate((reads1, reads2), 1):
+        reason = F.lit("no sequence or quality")
+        if "_corrupt_reason" in reads.columns:
+            reason = F.coalesce("_corrupt_reason", reason)
+            reads = reads.filter("_corrupt_reason IS NOT NULL OR sequence IS NULL OR quality IS NULL")
+        else:
+            reads = reads.filter("sequence IS NULL OR quality IS NULL")
+        grouped = reads.groupBy(reason.alias("reason")).agg(F.count("*").alias("records"))
+        counts.append(grouped.select(F.lit(number).alias("read_no"), "reason", "records"))
+    return counts[0].unionByName(counts[1])
+
+
 def mate1(reads1: DataFrame, layout: ReadLayout) -> DataFrame:
     columns = windows("sequence", "quality", layout, 1)
-    return reads1.select("name", _too_short(layout, 1).alias("short1"), *_named(columns))
+    return whole_reads(reads1).select("name", _too_short(layout, 1).alias("short1"), *_named(columns))
 
 
 def mate2(reads2: DataFrame, layout: ReadLayout, adapters=None) -> DataFrame:
     columns = windows("sequence", "quality", layout, 2)
-    return flag_adapters(reads2, adapters).select(
+    return flag_adapters(whole_reads(reads2), adapters).select(
         "name",
         "sequence",
         "quality",
@@ -66,40 +84,14 @@ def mate2(reads2: DataFrame, layout: ReadLayout, adapters=None) -> DataFrame:
 
 
 def flag_adapters(reads: DataFrame, adapters=None) -> DataFrame:
-    """Reads with a flag ``adapter``: does the sequence contain one?
+    """Reads with a flag ``adapter``, never NULL: does the sequence contain one?
 
-    ``adapters`` is a list or a one-column table. A long list stays a table, see below.
+    ``adapters`` is a list or a one-column table, which is collected: all adapters are one regular
+    expression in the plan, however many there are, and no read is shuffled for them.
     """
     if isinstance(adapters, DataFrame):
-        head = adapters.limit(INLINE_ADAPTERS + 1).collect()
-        if len(head) > INLINE_ADAPTERS:
-            return flag_adapters_by_join(reads, adapters)
-        adapters = [row[0] for row in head]
-    adapters = list(adapters or ())
-    if len(adapters) > INLINE_ADAPTERS:
-        table = reads.sparkSession.createDataFrame([(a,) for a in adapters], "adapter string")
-        return flag_adapters_by_join(reads, table)
-    return reads.withColumn("adapter", has_adapter("sequence", adapters))
-
-
-def flag_adapters_by_join(reads: DataFrame, adapters: DataFrame) -> DataFrame:
-    """Every substring that is as long as some adapter, looked up among the adapters."""
-    adapters = adapters.toDF("adapter").filter("adapter <> ''").distinct()
-    lengths = sorted(row[0] for row in adapters.select(F.length("adapter")).distinct().collect())
-    sequences = reads.select("sequence").distinct()
-    substrings = sequences.select(
-        "sequence", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_length")
-    ).filter(F.length("sequence") >= F.col("_length"))
-    substrings = substrings.select(
-        "sequence",
-        "_length",
-        F.explode(F.sequence(F.lit(1), F.length("sequence") - F.col("_length") + 1)).alias("_at"),
-    ).select("sequence", F.substring("sequence", F.col("_at"), F.col("_length")).alias("adapter"))
-    hits = salted_join(substrings, adapters, "adapter", ["sequence"], "left_semi").select("sequence").distinct()
-    flagged = salted_join(reads, hits.withColumn("_hit", F.lit(True)), "sequence", ["name"], "left")
-    return flagged.withColumn("adapter", F.coalesce("_hit", F.lit(False))).drop("_hit").select(
-        *reads.columns, "adapter"
-    )
+        adapters = [row[0] for row in adapters.toDF("adapter").filter("adapter <> ''").distinct().collect()]
+    return reads.withColumn("adapter", has_adapter("sequence", adapters or ()))
 
 
 def flagged_pairs(first: DataFrame, second: DataFrame, layout: ReadLayout) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from readmap.operators.barcodes import captured_counts, one_mismatch_map, unique_mask
 from readmap.operators.counters import run_counters
 from readmap.operators.layout import ReadLayout
-from readmap.operators.pairing import enforce_length, flagged_pairs, mate1, mate2
+from readmap.operators.pairing import broken_reads, enforce_length, flagged_pairs, mate1, mate2
 
 TAGGED_COLUMNS = ["name", "sequence", "quality", "umi", "umi_qual", "x", "y"]
 
@@ -39,7 +39,7 @@ class Mapping:
         holder = self._mates[0 if self.layout.has_barcode(1) else 1]
         start = self.layout.barcode_start if self.layout.offset == "read" else 0
         captured = captured_counts(_usable(holder, self.layout))
-        rescued = one_mismatch_map(captured, used, self.layout.barcode_len, start=start)
+        rescued = one_mismatch_map(captured, self.mask, self.layout.barcode_len, start=start, positions=used)
         return used.unionByName(rescued.select("barcode", "x", "y"))
 
     @cached_property
@@ -52,6 +52,11 @@ class Mapping:
         """Read 2 of each placed pair, once per coordinate of its barcode."""
         return tagged_reads(*self._mates, self.lookup, self.layout)
 
+    @cached_property
+    def broken(self) -> DataFrame:
+        """Reads that take no part, because their record is broken, counted by mate and reason."""
+        return broken_reads(self.reads1, self.reads2)
+
     @cached_property
     def counters(self) -> DataFrame:
         """One row."""
