@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readmap.sources.adapters import read_adapters
 from readmap.sources.fastq import FastqDataSource
+from readmap.sources.files import qualified
 from readmap.sources.gzip_blocks import GzipBlocksDataSource
 from readmap.sources.mask import MaskBinDataSource, read_mask
 
@@ -25,13 +26,13 @@ def register_sources(spark: SparkSession) -> None:
 
 def read_fastq(spark: SparkSession, path: str, **options) -> DataFrame:
     spark.dataSource.register(FastqDataSource)
-    return spark.read.format("fastq").options(**options).load(path)
+    return spark.read.format("fastq").options(**options).load(qualified(spark, path))
 
 
 def read_gzip_blocks(spark: SparkSession, path: str, **options) -> DataFrame:
     """Groups of compressed blocks with their bytes: ``file, group_no, start, length, payload``."""
     spark.dataSource.register(GzipBlocksDataSource)
-    return spark.read.format("gzip_blocks").options(**options).load(path)
+    return spark.read.format("gzip_blocks").options(**options).load(qualified(spark, path))
 
 
 def read_block_index(spark: SparkSession, path: str) -> DataFrame:

@@ -4,11 +4,13 @@ A member has an extra field ``IG`` of four bytes, the member's size. An index li
 a field that is not read, the member's offset and its size; lines that start with ``#`` are comments.
 """
 
+import io
 import struct
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 
 from readmap.sources import files
 
@@ -38,11 +40,21 @@ def pack_member(data: bytes, level: int = 6) -> bytes:
     return _MEMBER_HEAD + struct.pack("<I", size) + body + tail
 
 
-def load_index(uri: str) -> np.ndarray:
-    """Offset and size of each block of ``<uri>.idx``, one row per block."""
-    lines = files.read_small(uri + ".idx").splitlines()
-    fields = [line.split(b"\t") for line in lines if line and not line.startswith(b"#")]
-    return np.array([(int(f[1]), int(f[2])) for f in fields], np.int64).reshape(-1, 2)
+def load_index(uri: str, size: int) -> np.ndarray:
+    """Offset and size of each block of ``<uri>.idx``, one row per block.
+
+    The blocks must follow each other and cover the file, which has ``size`` bytes.
+    """
+    raw = files.read_small(uri + ".idx")
+    try:
+        table = pd.read_csv(io.BytesIO(raw), sep="\t", comment="#", header=None, usecols=[1, 2], dtype=np.int64)
+    except pd.errors.EmptyDataError:
+        table = pd.DataFrame({1: [], 2: []}, dtype=np.int64)
+    index = table.to_numpy().reshape(-1, 2)
+    edges = np.concatenate([[0], np.cumsum(index[:, 1])])
+    if not np.array_equal(edges[:-1], index[:, 0]) or edges[-1] != size:
+        raise ValueError(f"index {uri}.idx does not cover the {size} bytes of its file block by block")
+    return index
 
 
 def group_blocks(index: np.ndarray, max_bytes: int | None = None, max_blocks: int | None = None):

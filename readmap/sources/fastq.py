@@ -50,8 +50,7 @@ class FastqDataSource(DataSource):
     """``spark.read.format('fastq')``.
 
     Options: ``qualityEncoding`` (sanger, illumina), ``mode`` (FAILFAST, PERMISSIVE),
-    ``maxSplitBytes`` for plain files, ``blockSplitBytes`` for indexed block gzip,
-    ``maxLineBytes`` (0: lines are read whole; n: what follows the nth byte is cut off).
+    ``maxSplitBytes`` for plain files, ``blockSplitBytes`` for indexed block gzip.
     """
 
     @classmethod
@@ -69,7 +68,6 @@ class FastqDataSource(DataSource):
             permissive=self._mode() == "PERMISSIVE",
             split_bytes=int(option("maxSplitBytes", 128 * files.MEBIBYTE)),
             block_split_bytes=int(option("blockSplitBytes", BLOCK_SPLIT_BYTES)),
-            max_line=int(option("maxLineBytes", 0)),
         )
 
     def _mode(self) -> str:
@@ -80,7 +78,7 @@ class FastqDataSource(DataSource):
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, path, encoding, permissive, split_bytes, block_split_bytes, max_line):
+    def __init__(self, path, encoding, permissive, split_bytes, block_split_bytes):
         if not path:
             raise ValueError("fastq needs a path")
         if split_bytes < 1 or block_split_bytes < 1:
@@ -91,7 +89,6 @@ class FastqReader(DataSourceReader):
         self.permissive = permissive
         self.split_bytes = split_bytes
         self.block_split_bytes = block_split_bytes
-        self.max_line = max_line
 
     def partitions(self) -> list[InputPartition]:
         found = [f for f in files.list_files(self.path, skip=(".idx",)) if f.size]
@@ -107,7 +104,7 @@ class FastqReader(DataSourceReader):
             return [FastqSplit(file.uri, a, b, file.size, "") for a, b in ranges]
         if codec == "gzip" and is_block_gzip(head):
             if files.exists(file.uri + ".idx"):
-                groups = group_blocks(load_index(file.uri), max_bytes=self.block_split_bytes)
+                groups = group_blocks(load_index(file.uri, file.size), max_bytes=self.block_split_bytes)
                 return [FastqSplit(file.uri, g.start, g.start + g.length, file.size, "blocks") for g in groups]
             LOG.error("no index %s.idx: the file is read by one task", file.uri)
         return [FastqSplit(file.uri, 0, file.size, file.size, codec)]
@@ -160,21 +157,26 @@ def _decompressed(handle, split: FastqSplit):
         "deflate": zlib.decompressobj,
         "bz2": bz2.BZ2Decompressor,
     }[split.codec]
-    member, rest = None, b""
+    member, rest, padding = None, b"", False
     for piece in _raw(handle, split.start, split.end, COMPRESSED_READ_BYTES):
         rest += piece
         while rest:
             if member is None:
+                padding = split.codec == "gzip" and (padding or rest[0] == 0)
+                if padding:
+                    if rest.strip(b"\0"):
+                        raise ValueError(f"bytes between or after gzip members in {split.uri}")
+                    rest = b""
+                    break
                 if split.codec == "blocks":
                     if len(rest) < IG_HEADER_BYTES:
                         break
                     if not is_block_gzip(rest):
                         raise ValueError(f"not an indexed gzip block in {split.uri}")
                 elif split.codec == "gzip" and not rest.startswith(GZIP_MAGIC[: len(rest)]):
-                    return  # padding after the last member
+                    raise ValueError(f"bytes between or after gzip members in {split.uri}")
                 member = make()
-            if out := member.decompress(rest):
-                yield out
+            yield from _inflated(member, rest)
             rest = b""
             if member.eof:
                 rest, member = member.unused_data, None
@@ -182,6 +184,22 @@ def _decompressed(handle, split: FastqSplit):
         raise EOFError(f"unexpected end of compressed data in {split.uri}")
 
 
+def _inflated(member, data: bytes):
+    """What the data hold, in pieces of at most ``READ_BYTES``."""
+    if isinstance(member, bz2.BZ2Decompressor):
+        out = member.decompress(data, READ_BYTES)
+        while out:
+            yield out
+            out = b"" if member.eof or member.needs_input else member.decompress(b"", READ_BYTES)
+        return
+    while data and not member.eof:
+        if out := member.decompress(data, READ_BYTES):
+            yield out
+        data = member.unconsumed_tail
+    while not member.eof and len(out := member.decompress(b"", READ_BYTES)):  # held back inside
+        yield out
+
+
 def align(handle, offset: int, size: int) -> int:
     """First record start at or after a byte offset.
 
@@ -237,7 +255,7 @@ class RecordParser:
         if rest:
             rest = yield from self._parse(rest, at_end=True)
         if rest:
-            yield from self._corrupt(TRUNCATED, rest, [0])
+            yield from self._corrupt(TRUNCATED, rest, [0], [len(rest)])
 
     def _parse(self, raw: bytes, at_end: bool):
         """Batches of the complete records of a buffer; returns the bytes left.
@@ -252,7 +270,7 @@ class RecordParser:
         starts = np.concatenate(([0], ends + 1))
         firsts = data[starts[starts < len(data)]]  # of the last line too, though it may go on
         anchors = np.flatnonzero((firsts[:-2] == AT) & (firsts[2:] == PLUS))
-        runs, broken, line = [], [], 0
+        runs, broken, after, line = [], [], [], 0  # after: line that ends the skipped text of a broken record
         while True:
             if self.skipping:
                 k = int(np.searchsorted(anchors, line))
@@ -260,6 +278,7 @@ class RecordParser:
                     line = len(starts) - 1 if at_end else max(line, len(firsts) - 2)
                     break
                 line, self.skipping = int(anchors[k]), False
+                after += [line] * (len(broken) - len(after))
             count = (len(ends) - line) // 4
             wrong = firsts[line + 2 : line + 4 * count : 4] != PLUS
             stop = int(wrong.argmax()) if wrong.any() else count
@@ -270,10 +289,11 @@ class RecordParser:
             broken.append(line)
             self.skipping = True
         if broken and not self.options.permissive:
-            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken[:1]])
+            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken[:1]], starts[broken[:1]])
         yield from self._records(raw, data, starts, ends, np.concatenate(runs) if runs else ())
         if broken:
-            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken])
+            after += [line] * (len(broken) - len(after))
+            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken], starts[after])
         done = int(starts[line])
         self.offset += done
         return raw[done:]
@@ -289,8 +309,6 @@ class RecordParser:
             last = ends[lines + k]
             returned = (data[last] == NEWLINE) & (last > begin) & (data[last - 1] == RETURN)
             stops.append(np.maximum(last - returned, begin))
-        if self.options.max_line:
-            stops = [np.minimum(stop, begin + self.options.max_line) for begin, stop in zip(begins, stops)]
         read_no, stops[0] = _read_numbers(data, begins[0], stops[0])
         names, sequences, qualities = _gather(raw, begins, stops)
         offsets = self.offset + starts[lines]
@@ -306,10 +324,14 @@ class RecordParser:
             corrupt[bad] = True
             corrupt, none = pa.array(corrupt), pa.scalar(None, pa.string())
             columns[2:] = [pc.if_else(corrupt, none, column) for column in columns[2:]]
+            texts = [None] * count
+            for k in bad.tolist():
+                texts[k] = raw[int(starts[lines[k]]) : int(ends[lines[k] + 3]) + 1].decode("utf-8", "replace")
             columns += [
                 pc.if_else(corrupt, pa.scalar(BAD_QUALITY), none),
                 pa.repeat(pa.scalar(self.uri), count),
                 pa.array(offsets, pa.int64()),
+                pa.array(texts, pa.string()),
             ]
         yield pa.RecordBatch.from_arrays(columns, names=self._names())
 
@@ -323,15 +345,16 @@ class RecordParser:
         wrong = np.flatnonzero((data < self.low) | (data > self.high))
         return np.unique(np.searchsorted(offsets, wrong, side="right") - 1)
 
-    def _corrupt(self, reason: str, raw: bytes, positions):
-        """Rows for the broken records that start at these positions of a buffer."""
+    def _corrupt(self, reason: str, raw: bytes, positions, ends):
+        """Rows for the broken records between these positions of a buffer."""
         names = [ID_LINE.match(raw, int(p) + 1)[0].decode("utf-8", "replace") for p in positions]
         if not self.options.permissive:
             self._fail(reason, self.offset + int(positions[0]), names[0])
         rows = [
             dict.fromkeys(self._names())
             | {"name": name, "_corrupt_reason": reason, "_file": self.uri, "_offset": self.offset + int(position)}
-            for name, position in zip(names, positions)
+            | {"_corrupt_record": raw[int(position) : int(end)].decode("utf-8", "replace")}
+            for name, position, end in zip(names, positions, ends)
         ]
         yield pa.RecordBatch.from_pylist(rows, schema=CORRUPT_ROW)
 

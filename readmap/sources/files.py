@@ -25,6 +25,22 @@ def open_path(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{scheme}://{rest}")
 
 
+def qualified(spark, path: str) -> str:
+    """Path, or list of paths, with the scheme of the session's default file system where it has none."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    if str(configuration.get("fs.defaultFS", "file:///")).startswith("file:"):
+        return path
+    make = spark._jvm.org.apache.hadoop.fs.Path
+
+    def one(item: str) -> str:
+        if "://" in item or item.startswith("file:"):
+            return item
+        place = make(item)
+        return place.getFileSystem(configuration).makeQualified(place).toString()
+
+    return ",".join(one(item) for item in filter(None, (part.strip() for part in path.split(","))))
+
+
 def open_file(uri: str):
     filesystem, path = open_path(uri)
     return filesystem.open_input_file(path)
@@ -42,31 +58,32 @@ def list_files(path: str, skip: tuple[str, ...] = ()) -> list[SourceFile]:
 
 
 def _list_one(item: str, skip: tuple[str, ...]) -> list[SourceFile]:
+    """Folders are read with all folders inside, as partitioned output has them."""
     filesystem, path = open_path(item)
     item = item.rstrip("/") or item
     path = path.rstrip("/") or path
     prefix = item.removesuffix(path) if item.endswith(path) else ""
     directory, _, pattern = path.rpartition("/")
     if any(c in pattern for c in "*?["):
-        selector = pafs.FileSelector(directory, recursive=False)
+        infos = filesystem.get_file_info(pafs.FileSelector(directory, recursive=False))
+        infos = [i for i in infos if fnmatch.fnmatchcase(i.base_name, pattern) and not i.base_name.startswith(("_", "."))]
     else:
-        info = filesystem.get_file_info(path)
-        if info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(item)
-        if info.type == pafs.FileType.File:
-            return [SourceFile(prefix + info.path, info.size)]
-        selector, pattern = pafs.FileSelector(path, recursive=False), "*"
-    files = [
-        SourceFile(prefix + info.path, info.size)
-        for info in filesystem.get_file_info(selector)
-        if info.type == pafs.FileType.File
-        and fnmatch.fnmatchcase(info.base_name, pattern)
-        and not info.base_name.startswith(("_", "."))
-        and not info.base_name.endswith(skip or ("\0",))
-    ]
-    if not files and pattern != "*":
-        raise FileNotFoundError(item)
-    return sorted(files, key=lambda f: f.uri)
+        infos = [filesystem.get_file_info(path)]
+        if infos[0].type == pafs.FileType.File:
+            return [SourceFile(prefix + infos[0].path, infos[0].size)]
+    found = [i for i in infos if i.type == pafs.FileType.File]
+    for folder in (i for i in infos if i.type == pafs.FileType.Directory):
+        inside = filesystem.get_file_info(pafs.FileSelector(folder.path, recursive=True))
+        found += [i for i in inside if i.type == pafs.FileType.File and not _hidden(i.path.removeprefix(folder.path))]
+    wanted = [SourceFile(prefix + i.path, i.size) for i in found if not i.base_name.endswith(skip or ("\0",))]
+    if not wanted:
+        raise FileNotFoundError(f"no file at {item}")
+    return sorted(wanted, key=lambda f: f.uri)
+
+
+def _hidden(path: str) -> bool:
+    """Partition folders, ``_name=value``, are not hidden."""
+    return any(part.startswith(".") or part.startswith("_") and "=" not in part for part in path.split("/") if part)
 
 
 def exists(uri: str) -> bool:

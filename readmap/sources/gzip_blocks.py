@@ -1,6 +1,8 @@
 """Table of the blocks of indexed block gzip files, and a writer of such files."""
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from readmap import schemas
@@ -39,6 +41,8 @@ class GzipBlocksDataSource(DataSource):
     def writer(self, schema, overwrite):
         if len(schema.fields) != 1:
             raise ValueError("gzip_blocks writes one string column")
+        if overwrite:
+            raise ValueError("gzip_blocks appends; write to a new path")
         return BlockWriter(self.options["path"], int(self.options.get("blockBytes", 1 << 18)))
 
 
@@ -58,13 +62,13 @@ class BlockIndexReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        return [InputPartition(f.uri) for f in _indexed_files(self.path)]
+        return [InputPartition((f.uri, f.size)) for f in _indexed_files(self.path)]
 
     def read(self, partition):
         if partition is None:
             return
-        uri = partition.value
-        index = load_index(uri)
+        uri, size = partition.value
+        index = load_index(uri, size)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.repeat(pa.scalar(uri), len(index)),
@@ -91,7 +95,7 @@ class BlockGroupReader(DataSourceReader):
     def _splits(self, file: files.SourceFile) -> list[tuple[str, list[tuple[int, int, int]]]]:
         """Groups of blocks as (number, start, length), as many to a task as ``maxSplitBytes`` allows."""
         splits, size = [(file.uri, [])], 0
-        for group in group_blocks(load_index(file.uri), max_blocks=self.blocks_per_row):
+        for group in group_blocks(load_index(file.uri, file.size), max_blocks=self.blocks_per_row):
             if splits[-1][1] and size + group.length > self.split_bytes:
                 splits.append((file.uri, []))
                 size = 0
@@ -138,13 +142,26 @@ class BlockWriter(PartWriter):
         return WrittenPart([name + ".idx", name])
 
     def _blocks(self, batches):
-        lines, size = [], 0
+        """Text of whole lines, cut from the column's buffers at the first line end beyond ``blockBytes``."""
+        rest = b""
         for batch in batches:
-            for line in batch.column(0).to_pylist():
-                lines.append(line.encode() + b"\n")
-                size += len(lines[-1])
-                if size >= self.block_bytes:
-                    yield b"".join(lines)
-                    lines, size = [], 0
-        if lines:
-            yield b"".join(lines)
+            column = batch.column(0).cast(pa.large_string())
+            if column.null_count:
+                raise ValueError("gzip_blocks cannot write a NULL line")
+            lines = pc.binary_join_element_wise(column, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+            offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+            text = memoryview(lines.buffers()[2] or b"")
+            start, done = int(offsets[0]), 0
+            while True:
+                wanted = start + self.block_bytes - len(rest)
+                k = int(np.searchsorted(offsets, wanted))
+                if k >= len(offsets):
+                    break
+                k = max(k, done + 1)
+                yield rest + bytes(text[start : int(offsets[k])])
+                rest, start, done = b"", int(offsets[k]), k
+                if done == len(lines):
+                    break
+            rest += bytes(text[start : int(offsets[-1])])
+        if rest:
+            yield rest

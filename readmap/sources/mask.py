@@ -33,6 +33,8 @@ class MaskBinDataSource(DataSource):
     def writer(self, schema, overwrite):
         if schema.names != schemas.MASK.names:
             raise ValueError(f"mask_bin writes the columns {schemas.MASK.names}")
+        if overwrite:
+            raise ValueError("mask_bin appends; write to a new path")
         return MaskBinWriter(self.options["path"])
 
 
@@ -68,6 +70,8 @@ class MaskBinWriter(PartWriter):
             for batch in batches:
                 records = np.empty(batch.num_rows, RECORD)
                 for field in RECORD.names:
+                    if batch.column(field).null_count:
+                        raise ValueError(f"mask_bin cannot write a NULL {field}")
                     records[field] = batch.column(field).to_numpy(zero_copy_only=False)
                 out.write(records.tobytes())
         return WrittenPart([name])
@@ -95,5 +99,5 @@ def read_mask(spark: SparkSession, path: str, fmt: str | None = None) -> DataFra
         return read_text_mask(spark, path)
     if fmt == "bin":
         spark.dataSource.register(MaskBinDataSource)
-        return spark.read.format("mask_bin").load(path)
+        return spark.read.format("mask_bin").load(files.qualified(spark, path))
     raise ValueError(f"a mask is a .bin or .txt path, not {path!r}")
