@@ -102,16 +102,16 @@ def _altered(bits: int) -> str:
   from (select event_id, {_encode('seq1')} as key from r))"""
 
 
-def _one_mismatch(bits: int, source: str) -> str:
+def _one_mismatch(bits: int, source: str, length: int = 25, positions: str = "m") -> str:
     """Unmapped barcodes of ``a`` with their neighbours in the mask, for steps of so many bits."""
-    return f"""k as (select distinct k::BIGINT << (({bits} * i)::BIGINT) as step from range(1, 4) a(k), range(25) b(i)),
+    return f"""k as (select distinct k::BIGINT << (({bits} * i)::BIGINT) as step from range(1, 4) a(k), range({length}) b(i)),
   n as (select barcode, xor(barcode, step) as mask_barcode from {source}, k
         where barcode not in (select barcode from m)),
   h as (select barcode, min(mask_barcode) as mask_barcode
         from (select distinct barcode, mask_barcode from n
               where mask_barcode in (select barcode from m))
         group by barcode having count(*) = 1),
-  o as (select h.barcode, mask_barcode, x, y from h join m on m.barcode = mask_barcode)"""
+  o as (select h.barcode, mask_barcode, x, y from h join {positions} p on p.barcode = mask_barcode)"""
 
 
 # Every fourth read 1 with one base changed.
@@ -202,6 +202,23 @@ ORACLES = {
         "lookup as (select * from m union all select barcode, x, y from o)",
         then=TAGGED.format(mask="lookup"),
     ),
+    "map_barcodes_unique_one_mismatch": _with(
+        R,
+        M.replace("m as (", "m25 as (", 1),
+        "m as (select barcode & 4095 as barcode, x, y from m25)",
+        UNIQUE,
+        _pairs().replace(_encode("seq1"), _encode("seq1", 6)),
+        "a as (select distinct barcode from p where not adapter and not umi_bad)",
+        _one_mismatch(2, "a", 6, "unique_m"),
+        "lookup as (select * from unique_m union all select barcode, x, y from o)",
+        then=TAGGED.format(mask="lookup"),
+    ),
+    "map_barcodes_damaged": _with(
+        R,
+        M,
+        _pairs("(select * from r where not ((event_id + 1) % 50 in (9, 25) or (event_id + 2) % 50 in (9, 25)))"),
+        then=TAGGED.format(mask="m"),
+    ),
     "map_barcodes_from_read2": _with(R, M, FROM_READ2, then=TAGGED.format(mask="m")),
     "pair_flags": _with(
         R, P, then="select name, barcode, umi, adapter, umi_bad, cast(rb as int) as read_bases from p"
@@ -215,7 +232,8 @@ ORACLES = {
     "barcode_umi_windows": _with(
         R,
         then="""select name, substring(seq1, 1, 25) as barcode_bases, substring(seq1, 26, 10) as umi,
-        substring(qual1, 26, 10) as umi_qual from r""",
+        substring(qual1, 26, 10) as umi_qual, substring(seq2, 4, 20) as barcode_bases2,
+        substring(seq2, 31, 8) as umi2, substring(qual2, 31, 8) as umi_qual2 from r""",
     ),
     "barcode_encode": _with(
         R,
@@ -251,14 +269,22 @@ ORACLES = {
     "fastq_scan": _with(R, then=_reads(1)),
     "fastq_gzip_scan": _with(R, then=_reads(2)),
     "fastq_block_gzip_scan": _with(R, then=_reads(2)),
+    "gzip_block_index": "select true as contiguous, true as covered",
     "gzip_block_payload": _with(
         R,
         then="""select cast(sum(length('@' || name || '/2') + length(seq2) + length('+') + length(qual2) + 4) as bigint)
         as text_bytes, true as whole, true as marked from r""",
     ),
-    "fastq_validate": """select case when event_id % 50 = 7 then 'missing separator'
-        when event_id % 50 = 23 then 'quality out of range' else 'none' end as reason, count(*) as records
-        from events group by 1""",
+    "fastq_validate": _with(
+        R,
+        then="""select reason, count(*) as records, cast(sum(characters) as bigint) as characters from (
+          select case when (event_id + 2) % 50 = 9 then 'missing separator'
+                      when (event_id + 2) % 50 = 25 then 'quality out of range' else 'none' end as reason,
+                 case when (event_id + 2) % 50 in (9, 25) then length('@' || name) + 64 + 1 + 64 + 4 end as characters
+          from r
+          union all select 'truncated record', length('@' || name) + 9 + 2 from r where event_id % 1000 = 31)
+        group by 1""",
+    ),
     "fastq_round_trip": _with(R, M, P, T, then=f"select {TAGGED_NAME} as name, sequence, quality from t"),
     "tagged_fastq": _with(
         R,
@@ -269,7 +295,7 @@ ORACLES = {
         from t""",
     ),
     "tagged_fastq_gzip": _with(R, M, P, T, then=f"select {TAGGED_NAME} as name, sequence, quality from t"),
-    "output_partitions": _with(R, M, P, T, then="select cast(32 as bigint) as files, count(*) as reads from t"),
+    "output_partitions": _with(R, M, P, T, then="select cast(32 as bigint) as files, count(*) as reads, cast(8 as bigint) as merged_files, count(*) as merged_reads from t"),
     "qseq_lines": _with(
         R,
         then="""select case when length(name) % 2 = 0 then '1' else 'null' end
@@ -304,6 +330,7 @@ ORACLES = {
     "striped_fastq": _with(
         R, M, P, T, then="select cast(((y % 8) + 8) % 8 as int) as stripe, count(*) as reads from t group by 1"
     ),
+    "striped_fastq_round_trip": _with(R, M, P, T, then=f"select {TAGGED_NAME} as name, sequence, quality from t"),
     "barcode_bucket_counts": _with(
         M, then="select cast(((barcode % 16) + 16) % 16 as int) as bucket, count(*) as rows from m group by 1"
     ),

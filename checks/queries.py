@@ -3,7 +3,7 @@
 Queries on files first write them with Spark, from the same tables, to a folder all executors share.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readmap import (
@@ -29,7 +29,8 @@ from readmap.functions import (
 from readmap.operators import barcodes, order
 from readmap.operators.counters import run_counters, stats_report
 from readmap.operators.layout import ReadLayout
-from readmap.operators.pairing import flag_adapters, flag_adapters_by_join, mate1, pair_reads
+from readmap.operators.pairing import flag_adapters, mate1, pair_reads
+from readmap.operators.pairing import windows as read_windows
 from readmap.scratch import shared_folder
 from readmap.sinks import fastq_lines, qseq_lines, write_striped, write_tagged_fastq
 
@@ -60,6 +61,21 @@ def mapped_with_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     return mapping.tagged
 
 
+def mapped_unique_with_mismatch(spark: SparkSession, sf: str) -> DataFrame:
+    """Barcodes of six bases, so short that many are next to several mask barcodes, or to a repeated one."""
+    reads1, reads2 = synth.mates(spark, sf)
+    mask = synth.mask(spark, sf).withColumn("barcode", F.col("barcode").bitwiseAND(F.lit((1 << 12) - 1)))
+    options = {"adapters": synth.ADAPTERS, "barcode_len": 6, "unique": True, "mismatches": 1}
+    return map_barcodes(mask, reads1, reads2, **options).tagged
+
+
+def mapped_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """Reads from files with broken records, which take no part."""
+    pairs = synth.pairs(spark, sf)
+    sides = [read_fastq(spark, _written(spark, _damaged(pairs, read)), mode="PERMISSIVE") for read in (1, 2)]
+    return map_barcodes(synth.mask(spark, sf), *sides, adapters=synth.ADAPTERS).tagged
+
+
 def mapped_from_read2(spark: SparkSession, sf: str) -> DataFrame:
     """Barcode and UMI in read 2, which is then also the read searched for adapters."""
     reads1, reads2 = synth.mates(spark, sf)
@@ -104,11 +120,17 @@ def read_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of two layouts: the usual one, and one with all windows inside read 2."""
+    usual, other = ReadLayout(offset="window"), ReadLayout(3, 20, 2, 30, 8, 2, offset="window")
+    first, second = read_windows("seq1", "qual1", usual, 1), read_windows("seq2", "qual2", other, 2)
     return synth.pairs(spark, sf).select(
         "name",
-        F.substring("seq1", 1, 25).alias("barcode_bases"),
-        F.substring("seq1", 26, 10).alias("umi"),
-        F.substring("qual1", 26, 10).alias("umi_qual"),
+        barcode_decode(first["barcode"], usual.barcode_len).alias("barcode_bases"),
+        first["umi"].alias("umi"),
+        first["umi_qual"].alias("umi_qual"),
+        barcode_decode(second["barcode"], other.barcode_len).alias("barcode_bases2"),
+        second["umi"].alias("umi2"),
+        second["umi_qual"].alias("umi_qual2"),
     )
 
 
@@ -145,7 +167,7 @@ def adapter_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def adapter_filter_many(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = flag_adapters_by_join(synth.mates(spark, sf)[1], synth.many_adapters(spark, sf))
+    flagged = flag_adapters(synth.mates(spark, sf)[1], synth.many_adapters(spark, sf))
     return flagged.select("name", "adapter")
 
 
@@ -228,7 +250,17 @@ def fastq_block_gzip_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gzip_block_index(spark: SparkSession, sf: str) -> DataFrame:
-    return read_block_index(spark, _block_gzip(spark, sf)).select("block_no", "start", "length")
+    """Whether the blocks of each file follow each other, and whether they cover it."""
+    path = _block_gzip(spark, sf)
+    before = F.lag(F.col("start") + F.col("length"), 1, 0).over(Window.partitionBy("file").orderBy("block_no"))
+    blocks = read_block_index(spark, path).withColumn("follows", F.col("start") == before)
+    name = F.element_at(F.split("file", "/"), -1).alias("name")
+    ends = blocks.groupBy(name).agg(F.max(F.col("start") + F.col("length")).alias("end"), F.bool_and("follows").alias("follows"))
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    sizes = sizes.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
+    both = ends.join(sizes, "name", "full")
+    covered = F.coalesce(F.col("end") == F.col("size"), F.lit(False))
+    return both.agg(F.bool_and("follows").alias("contiguous"), F.bool_and(covered).alias("covered"))
 
 
 def gzip_block_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,17 +275,26 @@ def gzip_block_payload(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def fastq_validate(spark: SparkSession, sf: str) -> DataFrame:
+def _damaged(pairs: DataFrame, read: int) -> DataFrame:
     """Records of which some lack the separator and some have an impossible quality."""
-    number = F.col("event_id")
-    separator = F.when(number % 50 == 7, "x").otherwise("+")
-    quality = F.when(number % 50 == 23, F.concat(F.substring("qual2", 1, 63), F.lit("~"))).otherwise(F.col("qual2"))
-    lines = synth.pairs(spark, sf).select(
-        F.concat(F.lit("@"), "name", F.lit("\n"), "seq2", F.lit("\n"), separator, F.lit("\n"), quality)
-    )
-    reads = read_fastq(spark, _written(spark, lines), mode="PERMISSIVE")
+    number = F.col("event_id") + read
+    separator = F.when(number % 50 == 9, "x").otherwise("+")
+    last = F.length(f"qual{read}") - 1
+    bad = F.concat(F.left(f"qual{read}", last), F.lit("~"))
+    quality = F.when(number % 50 == 25, bad).otherwise(F.col(f"qual{read}"))
+    return pairs.select(F.concat(F.lit("@"), "name", F.lit("\n"), f"seq{read}", F.lit("\n"), separator, F.lit("\n"), quality))
+
+
+def fastq_validate(spark: SparkSession, sf: str) -> DataFrame:
+    """Broken records by reason, with their text, also those that a file breaks off in."""
+    pairs = synth.pairs(spark, sf)
+    path = _written(spark, _damaged(pairs, 2))
+    cut = F.concat(F.lit("@"), "name", F.lit("\n"), F.left("seq2", F.lit(9)))
+    cut = pairs.filter("event_id % 1000 = 31").select("event_id", cut)  # a file each
+    cut.write.partitionBy("event_id").text(f"{path}/cut")
+    reads = read_fastq(spark, path, mode="PERMISSIVE")
     reason = F.coalesce("_corrupt_reason", F.lit("none")).alias("reason")
-    return reads.groupBy(reason).agg(F.count("*").alias("records"))
+    return reads.groupBy(reason).agg(F.count("*").alias("records"), F.sum(F.length("_corrupt_record")).alias("characters"))
 
 
 def fastq_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,8 +316,15 @@ def tagged_fastq_gzip(spark: SparkSession, sf: str) -> DataFrame:
 def output_partitions(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
     write_tagged_fastq(mapped(spark, sf), path, partitions=FILES, rebalance=True)
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"))
-    return lines.agg(F.count_distinct("file").alias("files"), (F.count("*") / 4).cast("bigint").alias("reads"))
+    merged = shared_folder(spark)
+    write_tagged_fastq(mapped(spark, sf).repartition(FILES), merged, partitions=FILES // 4)
+
+    def counts(path: str, files: str, reads: str) -> DataFrame:
+        lines = spark.read.text(path).select(F.input_file_name().alias("file"))
+        return lines.agg(F.count_distinct("file").alias(files), (F.count("*") / 4).cast("bigint").alias(reads))
+
+    both = counts(path, "files", "reads").withColumn("one", F.lit(1))
+    return both.join(counts(merged, "merged_files", "merged_reads").withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def qseq(spark: SparkSession, sf: str) -> DataFrame:
@@ -358,6 +406,12 @@ def striped_fastq(spark: SparkSession, sf: str) -> DataFrame:
     return lines.agg((F.count("*") / 4).cast("bigint").alias("reads"))
 
 
+def striped_fastq_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark)
+    write_striped(mapped(spark, sf), path, STRIPES)
+    return read_fastq(spark, path).select("name", "sequence", "quality")
+
+
 def barcode_bucket_counts(spark: SparkSession, sf: str) -> DataFrame:
     buckets = order.with_barcode_bucket(synth.mask(spark, sf), BUCKETS)
     return buckets.groupBy("bucket").agg(F.count("*").alias("rows"))
@@ -367,6 +421,8 @@ QUERIES = {
     "map_barcodes": mapped,
     "map_barcodes_unique_mask": mapped_unique,
     "map_barcodes_one_mismatch": mapped_with_mismatch,
+    "map_barcodes_unique_one_mismatch": mapped_unique_with_mismatch,
+    "map_barcodes_damaged": mapped_damaged,
     "map_barcodes_from_read2": mapped_from_read2,
     "pair_flags": pair_flags,
     "run_counters": counters,
@@ -410,5 +466,6 @@ QUERIES = {
     "captured_barcode_order": captured_barcode_order,
     "stripe_counts": stripe_counts,
     "striped_fastq": striped_fastq,
+    "striped_fastq_round_trip": striped_fastq_round_trip,
     "barcode_bucket_counts": barcode_bucket_counts,
 }

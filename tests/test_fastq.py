@@ -1,19 +1,21 @@
 import bz2
 import gzip
+import os
 import random
+import zlib
 
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from readmap import read_block_index, read_fastq, read_gzip_blocks, register_sources
-from readmap.sources import files
+from readmap.sources import fastq, files
 from readmap.sources.block_gzip import group_blocks, is_block_gzip, load_index, pack_member
 from readmap.sources.fastq import FastqReader
 
 
 def reader(path, **changes):
-    options = dict(encoding="sanger", permissive=False, split_bytes=1 << 20, block_split_bytes=200, max_line=0)
+    options = dict(encoding="sanger", permissive=False, split_bytes=1 << 20, block_split_bytes=200)
     return FastqReader(path=str(path), **(options | changes))
 
 
@@ -129,12 +131,11 @@ def test_illumina_input(tmp_path):
         rows(tmp_path / "s.fq", encoding="illumina")
 
 
-def test_lines_are_whole_unless_cut(tmp_path):
+def test_lines_are_whole(tmp_path):
     made = [("n", None, "A" * 30_000, "I" * 30_000)]
     (tmp_path / "r.fq").write_bytes(text(made))
     for size in (100, 9_000, 1 << 20):
         assert rows(tmp_path / "r.fq", split_bytes=size) == made
-    assert rows(tmp_path / "r.fq", max_line=10_000) == [("n", None, "A" * 10_000, "I" * 10_000)]
 
 
 @pytest.mark.parametrize("name", ["r.fq.gz", "r.fq.bz2", "r.fq.zst", "r.gz.without.suffix"])
@@ -195,7 +196,7 @@ def test_block_gzip_without_index_is_one_split(tmp_path):
 def test_groups_close_at_their_limit(tmp_path):
     path = tmp_path / "r.fq.gz"
     block_file(path, records(100))
-    index = load_index(str(path))
+    index = load_index(str(path), os.path.getsize(path))
     sizes, start, groups = [int(s) for s in index[:, 1]], 0, []
     size = 0
     for n in sizes:  # one after the other
@@ -248,13 +249,17 @@ def test_source(spark, tmp_path):
 
 
 def test_empty_folder(spark, tmp_path):
-    assert read_fastq(spark, str(tmp_path)).count() == 0
+    with pytest.raises(Exception, match="no file"):
+        read_fastq(spark, str(tmp_path)).count()
+    spark.range(0).selectExpr("string(id) AS value").write.text(str(tmp_path / "none"))
+    (tmp_path / "none" / "part").write_bytes(b"")
+    assert read_fastq(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_blocks_table(spark, tmp_path):
     made, path = records(100), tmp_path / "r.fq.gz"
     block_file(path, made)
-    index = load_index(str(path)).tolist()
+    index = load_index(str(path), os.path.getsize(path)).tolist()
     rows = read_block_index(spark, str(path)).orderBy("block_no").collect()
     assert [[r.start, r.length] for r in rows] == index and [r.block_no for r in rows] == list(range(25))
     groups = read_gzip_blocks(spark, str(path), maxSplitBytes=500)
@@ -277,3 +282,75 @@ def test_block_writer(spark, tmp_path):
     assert df.rdd.getNumPartitions() > 3
     assert {r.name for r in df.collect()} == {f"r{i}" for i in range(1000)}
     assert df.count() == 1000
+
+
+def test_index_must_cover_its_file(tmp_path):
+    path = tmp_path / "r.fq.gz"
+    made = records(40)
+    block_file(path, made)
+    index = (tmp_path / "r.fq.gz.idx").read_text().splitlines(keepends=True)
+    for kept in (index[:-1], index[:2] + index[3:], [], index[:1], index[1:2] + index[1:]):
+        (tmp_path / "r.fq.gz.idx").write_text("".join(kept))
+        with pytest.raises(ValueError, match="does not cover"):
+            rows(path)
+    (tmp_path / "r.fq.gz.idx").write_text("".join(index))
+    assert sorted(rows(path)) == sorted(made)
+
+
+@pytest.mark.parametrize("between, good", [(b"", True), (b"junk", False), (b"\0\0\0", False), (b"\x1f\x8bjunk", False)])
+def test_bytes_between_gzip_members(tmp_path, between, good):
+    made = records(10)
+    packed = gzip.compress(text(made[:5])) + between + gzip.compress(text(made[5:]))
+    (tmp_path / "r.fq.gz").write_bytes(packed)
+    if good:
+        assert rows(tmp_path / "r.fq.gz") == made
+    else:
+        with pytest.raises((ValueError, EOFError, zlib.error)):
+            rows(tmp_path / "r.fq.gz")
+    (tmp_path / "s.fq.gz").write_bytes(gzip.compress(text(made)) + b"\0" * 3_000_000)
+    assert rows(tmp_path / "s.fq.gz") == made
+
+
+def test_inflated_in_bounded_pieces(tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq, "READ_BYTES", 1 << 16)
+    line = b"@n\n" + b"A" * 100_000 + b"\n+\n" + b"I" * 100_000 + b"\n"
+    data = line * 50
+    for name, packed in (("r.fq.gz", gzip.compress(data)), ("r.fq.bz2", bz2.compress(data)), ("r.fq.deflate", zlib.compress(data))):
+        (tmp_path / name).write_bytes(packed)
+        with files.open_file(str(tmp_path / name)) as handle:
+            codec = fastq._codec(name, packed[:20])
+            pieces = list(fastq._decompressed(handle, fastq.FastqSplit(name, 0, len(packed), len(packed), codec)))
+        assert b"".join(pieces) == data and max(map(len, pieces)) <= 1 << 16
+
+
+def test_folders_inside_and_missing_files(tmp_path):
+    made = records(9)
+    for k, folder in enumerate(("x=1", "x=2/y=_3", "_temporary", ".hidden")):
+        (tmp_path / "run" / folder).mkdir(parents=True)
+        (tmp_path / "run" / folder / "part.txt").write_bytes(text(made[3 * k : 3 * k + 3]))
+    assert sorted(rows(tmp_path / "run")) == sorted(made[:6])
+    assert sorted(rows(tmp_path / "ru*")) == sorted(made[:6])
+    (tmp_path / "empty").mkdir()
+    for missing in ("empty", "none", "no*"):
+        with pytest.raises(FileNotFoundError):
+            rows(tmp_path / missing)
+
+
+def test_broken_records_keep_their_text(tmp_path):
+    good, lost = "@a\nAC\n+\nII\n", "@b\nAC\nx\nII\nmore\n"
+    bad = "@c\nAC\n+\nI~\n"
+    (tmp_path / "r.fq").write_text(good + lost + good + bad + "@d\nA")
+    found = rows(tmp_path / "r.fq", permissive=True)
+    assert sorted(r[-1] for r in found if r[4]) == sorted([bad, lost, "@d\nA\n"])
+
+
+def test_paths_take_the_default_file_system(spark):
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    before = configuration.get("fs.defaultFS")
+    assert files.qualified(spark, "/a/b,c") == "/a/b,c"
+    try:
+        configuration.set("fs.defaultFS", "viewfs://place/")
+        configuration.set("fs.viewfs.mounttable.place.link./in", "file:/tmp")
+        assert files.qualified(spark, "/in/b*, s3a://x/y,file:/z") == "viewfs://place/in/b*,s3a://x/y,file:/z"
+    finally:
+        configuration.set("fs.defaultFS", before)

@@ -171,22 +171,49 @@ def test_counters_stay_linear_in_a_repeated_name(spark):
     assert (row.total, row.mapped, row.rb) == (n * n, 2 * n * n, 35 * n * n)
 
 
-def test_many_adapters_are_joined(spark, monkeypatch):
-    rng = random.Random(3)
-    reads = [(f"r{i}", "".join(rng.choices("ACGT", k=rng.randrange(0, 60))), "") for i in range(500)] + [("r0", "A", "")]
-    adapters = ["".join(rng.choices("ACGT", k=rng.randrange(4, 9))) for _ in range(300)] + ["", "A" * 70]
+@pytest.mark.parametrize("count", [1, 65, 257, 1000])
+def test_any_number_of_adapters(spark, count):
+    rng = random.Random(count)
+    reads = [(f"r{i}", "".join(rng.choices("ACGT", k=rng.randrange(0, 60))), "") for i in range(500)]
+    reads += [("r0", "A", ""), ("r1", None, ""), ("r2", "a.c|(x)", "")]
+    adapters = ["".join(rng.choices("ACGT", k=rng.randrange(5, 10))) for _ in range(count)] + ["", "A" * 70, "c|("]
     table = spark.createDataFrame([(a,) for a in adapters * 2], "adapter string")
     df = spark.createDataFrame(reads, READ)
-    want = sorted((n, s, any(a in s for a in adapters if a)) for n, s, _ in reads)
-    calls = []
-    joined = pairing.flag_adapters_by_join
-    monkeypatch.setattr(pairing, "flag_adapters_by_join", lambda *a: calls.append(1) or joined(*a))
+    want = sorted(((n, s, any(a in (s or "") for a in adapters if a)) for n, s, _ in reads), key=str)
     for given in (table, adapters):
-        got = pairing.flag_adapters(df, given).select("name", "sequence", "adapter").collect()
-        assert sorted(map(tuple, got)) == want
-    assert len(calls) == 2
-    few = pairing.flag_adapters(df, table.limit(5)).select("name", "sequence", "adapter")
-    assert few.count() == len(reads) and len(calls) == 2
+        flagged = pairing.flag_adapters(df, given).select("name", "sequence", "adapter")
+        assert sorted(map(tuple, flagged.collect()), key=str) == want
+        plan = flagged._jdf.queryExecution().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_ambiguous_barcodes_are_not_rescued(spark):
+    """With ``unique``, a barcode that the mask has twice is dropped, whatever stands next to it."""
+    def code(bases):
+        return plain.encode(bases, 0, 25)
+
+    same, near, far = "A" * 25, "A" * 24 + "C", "C" * 25
+    mask = [(code(same), 1, 1), (code(same), 2, 2), (code(near), 3, 3), (code(far), 4, 4)]
+    barcodes = [same, near, "A" * 24 + "T", "G" + far[1:], "T" + same[1:]]
+    reads1 = [(f"r{i}", b + "ACGTACGTAC", "I" * 35) for i, b in enumerate(barcodes)]
+    reads2 = [(n, "ACGT", "IIII") for n, _, _ in reads1]
+    tables = [spark.createDataFrame(t, s) for t, s in ((mask, MASK), (reads1, READ), (reads2, READ))]
+    mapping = map_barcodes(*tables, unique=True, mismatches=1)
+    assert sorted((r.name, r.x) for r in mapping.tagged.collect()) == [("r1", 3), ("r3", 4)]
+    assert mapping.counters.first().mapped == 2
+    usual = map_barcodes(*tables, mismatches=1)
+    assert sorted((r.name, r.x) for r in usual.tagged.collect()) == [("r0", 1), ("r0", 2), ("r1", 3), ("r3", 4), ("r4", 1), ("r4", 2)]
+
+
+@pytest.mark.parametrize("adapters", [[], ["GGGGG"]])
+def test_broken_reads_take_no_part(spark, adapters):
+    mask, reads1, reads2 = one(spark)
+    bad1 = spark.createDataFrame([("r", None, None), ("s", "A" * 35, None)], READ)
+    bad2 = spark.createDataFrame([("r", None, "I"), ("s", "ACGT", "IIII")], READ)
+    mapping = map_barcodes(mask, reads1.union(bad1), reads2.union(bad2), adapters=adapters)
+    assert [r.name for r in mapping.tagged.collect()] == ["r"]
+    assert (mapping.counters.first().total, mapping.counters.first().mapped) == (1, 1)
+    assert {(r.read_no, r.records) for r in mapping.broken.collect()} == {(1, 2), (2, 1)}
 
 
 def test_unique_mask(spark):
