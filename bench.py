@@ -6,6 +6,7 @@ table and as files. Only what follows is timed: best of two runs, results consum
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(2 * int(CPUS)))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-", dir="/tmp"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -55,6 +57,10 @@ def prepare(spark: SparkSession) -> dict:
             lines.write.option("compression", "gzip").text(f"{folder}/gzip")
             lines.write.format("gzip_blocks").option("blockBytes", 1 << 20).mode("append").save(f"{folder}/blocks")
     mask.write.format("mask_bin").mode("append").save(f"{folder}/mask.bin")
+    # A mask of a million rows: the given one and, in order, barcodes that no read has.
+    number = (1 << 49) + F.col("id") * 1_000_003
+    rest = spark.range(1_000_000).select(number.alias("barcode"), F.col("id").cast("int").alias("x"), F.lit(0).alias("y"))
+    mask.unionByName(rest).write.parquet(f"{folder}/large_mask")
     return {"folder": folder, "pairs": pairs, "mask": mask, "reads": pairs.count()}
 
 
@@ -74,8 +80,30 @@ def benchmarks(spark: SparkSession, data: dict) -> dict:
             adapters=synth.ADAPTERS,
         )
 
+    large = spark.read.parquet(f"{folder}/large_mask")
+    adapters = synth.many_adapters(spark, SF_DIR)
+
+    def shuffled(make):
+        """Run with joins by shuffle, as a mask needs that is too large to broadcast."""
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            make().write.format("noop").mode("overwrite").save()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def job():
+        mapping = from_files()
+        mapping.counters.collect()
+        write_tagged_fastq(mapping.tagged, shared_folder(spark))
+
     return {
         "map_barcodes": lambda: mapping().tagged,
+        "map_barcodes_large_mask": lambda: shuffled(
+            lambda: map_barcodes(large, reads1, reads2, adapters=synth.ADAPTERS).tagged
+        ),
+        "one_mismatch_large_mask": lambda: shuffled(lambda: barcodes.one_mismatch_map(captured, large)),
+        "job_files": job,
         "run_counters": lambda: run_counters(reads1, reads2, mask, adapters=synth.ADAPTERS),
         "map_barcodes_files": lambda: from_files().tagged,
         "run_counters_files": lambda: from_files().counters,
@@ -83,6 +111,7 @@ def benchmarks(spark: SparkSession, data: dict) -> dict:
         "read_pairs": lambda: pair_reads(reads1, reads2),
         "barcode_encode": lambda: pairs.select(barcode_encode("seq1").alias("barcode")),
         "adapter_filter": lambda: flag_adapters(reads2, synth.ADAPTERS).filter("NOT adapter"),
+        "adapter_filter_many": lambda: flag_adapters(reads2, adapters).filter("NOT adapter"),
         "captured_barcodes": lambda: barcodes.captured_barcodes(captured, mask),
         "one_mismatch_map": lambda: barcodes.one_mismatch_map(captured, mask),
         "unique_mask": lambda: barcodes.unique_mask(mask),

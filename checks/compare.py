@@ -4,6 +4,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -60,6 +61,7 @@ def main() -> None:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

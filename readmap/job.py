@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from readmap import ReadLayout, map_barcodes, read_adapters, read_fastq, read_mask  # noqa: E402
 from readmap.operators.counters import stats_report  # noqa: E402
 from readmap.sinks import write_report, write_tagged_fastq  # noqa: E402
+from readmap.sources.files import is_there  # noqa: E402
 
 
 def arguments(argv=None) -> argparse.Namespace:
@@ -42,8 +43,11 @@ def arguments(argv=None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
     """Write the report, then the placed reads; returns the report's text.
 
-    Counting comes first: it reads everything, so a malformed input fails before any output exists.
+    Counting comes first: it reads everything, so a malformed input fails before any output exists. An
+    output path that is there already fails before that.
     """
+    if is_there(spark, args.out):
+        raise FileExistsError(f"{args.out} exists")
     layout = ReadLayout(
         barcode_start=args.barcodeStart,
         barcode_len=args.barcodeLen,

@@ -41,6 +41,12 @@ def qualified(spark, path: str) -> str:
     return ",".join(one(item) for item in filter(None, (part.strip() for part in path.split(","))))
 
 
+def is_there(spark, path: str) -> bool:
+    """Whether a path exists, on the file system that Spark would write it to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def open_file(uri: str):
     filesystem, path = open_path(uri)
     return filesystem.open_input_file(path)

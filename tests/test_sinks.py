@@ -150,6 +150,14 @@ def test_job(spark, tmp_path, mask_kind):
     assert record.format("d") in content(tmp_path / "near")[1]
 
 
+def test_job_does_not_start_where_its_output_exists(spark, tmp_path):
+    (tmp_path / "out").mkdir()
+    common = ["-m", "no.bin", "-r1", "no.fq", "-r2", "no.fq", "-o", f"{tmp_path}/out", "-stat", f"{tmp_path}/stat.txt"]
+    with pytest.raises(FileExistsError):
+        job.run(spark, job.arguments(common))
+    assert not (tmp_path / "stat.txt").exists()
+
+
 def test_job_needs_its_paths():
     with pytest.raises(SystemExit):
         job.arguments(["-m", "mask.bin"])
