@@ -29,3 +29,11 @@ def bounded(frame: DataFrame, rows: int) -> DataFrame:
     from pyspark.sql.functions import broadcast
 
     return broadcast(frame) if frame.count() <= rows else frame
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

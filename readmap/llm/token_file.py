@@ -22,7 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap.llm.common import parked
 from readmap.llm.tokens import WordEncoder, encoder, utf8
 from readmap.sources.files import open_file, open_path
 
@@ -151,9 +150,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         writer, stream, part = None, None, TaskContext.get().partitionId()
         name, documents, tokens = f"part-{part:06d}-{uuid.uuid4().hex}.tok.zst", 0, 0
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-            for start in range(0, len(texts), 256):
-                for doc_id, raw in zip(doc_ids[start : start + 256], encode(texts[start : start + 256])):
+            doc_ids = batch.column(0).to_pylist()
+            for start in range(0, len(doc_ids), 64):
+                texts = encode(utf8(batch.column(1).slice(start, 64)))
+                for doc_id, raw in zip(doc_ids[start : start + 64], texts):
                     if writer is None:
                         filesystem, folder = open_path(path)
                         filesystem.create_dir(folder, recursive=True)
@@ -168,7 +168,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             types = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["part", "file", "documents", "tokens"])
 
-    return parked(docs.mapInArrow(write, "part int, file string, documents long, tokens long"))
+    # Collected at once, one row per file: run again, the tasks would write other files.
+    listing = "part int, file string, documents long, tokens long"
+    return docs.sparkSession.createDataFrame(docs.mapInArrow(write, listing).collect(), listing)
 
 
 def read_token_files(spark: SparkSession, listing: DataFrame) -> DataFrame:

@@ -46,6 +46,7 @@ def test_same_ids_as_the_library(kind, path, spark, sf):
 
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 2)
+    monkeypatch.setattr(tokens, "SEEN_ONCE", 1)
     texts = [b"one two three", b"one two three four", b""]
     assert tokens.WordEncoder(WORD).encode(texts) == [np.array(whole(WORD)(t.decode()), "<u4").tobytes() for t in texts]
 
