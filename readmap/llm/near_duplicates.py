@@ -6,11 +6,11 @@ share a sample, its bit cancels, so the number of ones in the XOR of two sketche
 difference, most precisely where they are alike. Candidates that the sketches leave are compared as full sets.
 
 No group is expanded into all its pairs. Each bucket has a centre; first every class is compared with the
-most similar centre of its buckets, then with centres in other components. Only for members whom that leaves
-outside their bucket's main component, the remaining pairs of the bucket that no component
-joins are compared, until no pair of a bucket is left untested or apart. Links between classes are thus
-complete, as far as a bucket holds both: with 32 bands of 4 rows, two sets of similarity 0.8 share none with a
-probability of 5e-8.
+most similar centre of its buckets, then with centres in other components. Where a bucket still holds several
+components, its members are written as differences from a hub in the largest one, and pairs in different components
+are found by an exact prefix filter on these differences (see ``_differences``). So no pair of a bucket is left
+that is similar enough and not in one component. Two sets of similarity 0.8 have no bucket together
+with a probability of 5e-8, with 32 bands of 4 rows.
 """
 
 import math
@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readmap.llm.common import bounded, parked
+from readmap.llm.common import bounded, fresh, parked
 from readmap.llm.components import components
 from readmap.llm.shingles import mixed, shingle_set, word_hashes
 from readmap.llm.tokens import utf8
@@ -131,9 +131,9 @@ def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: in
     All columns stay. Rows with a NULL id stay, as do empty texts, unless such a row is repeated.
     """
     judged = parked(_judged(docs, shingle_words, percent))
-    keys = ["_doc_id", "_text_hash"]
-    places = judged.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
-    same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_text_hash") == F.xxhash64("text"))
+    keys = [fresh(docs, "_doc_id"), fresh(docs, "_text_hash")]
+    places = judged.withColumnsRenamed(dict(zip(("doc_id", "text_hash"), keys)))
+    same = F.col(keys[0]).eqNullSafe(F.col("doc_id")) & (F.col(keys[1]) == F.xxhash64("text"))
     removed = bounded(places.filter("NOT kept").select(*keys), BROADCAST_ROWS)
     repeated = bounded(parked(places.filter("kept").groupBy(*keys).count().filter("count > 1").select(*keys)), BROADCAST_ROWS)
     stay = docs.join(removed, same, "left_anti")
@@ -171,7 +171,7 @@ def _class_labels(docs: DataFrame, classes: DataFrame, shingle_words: int, perce
         F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("centre"), F.count("*").alias("size")
     )
     centres = nearest.filter("size > 1").select("bucket", F.col("centre").bitwiseXOR(F.col("bucket")).alias("centre"), "size")
-    members = parked(members.join(centres, "bucket"))
+    members = parked(members.join(parked(centres), "bucket"))  # from a table, so that a hot bucket's join can be split
 
     summaries = parked(classes.join(bounded(members.select("node").distinct(), BROADCAST_ROWS), "node", "left_semi").select(
         "node", "key", "n_shingles", "sketch"
@@ -193,26 +193,62 @@ def _class_labels(docs: DataFrame, classes: DataFrame, shingle_words: int, perce
     links = links.unionByName(parked(_linked(_apart(starred.select("a", "b"), labels), sets, percent)))
     labels = components(links)
 
-    # Within each bucket: all but the main component's members, with every member of another component.
+    # Buckets that still hold several components: every member against the hub of the main one, then each other.
     there = members.filter("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    there = parked(there.select("bucket", "node", "centre", "label"))
+    there = parked(there.select("bucket", "node", "label"))
     counts = there.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
     main = main.filter("labels > 1").select("bucket", F.col("main.label").alias("main"))
-    outside = there.join(main, "bucket").filter("label <> main").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), "main")
-    others = there.filter("node <> centre").select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "centre")
-    pairs = outside.join(others, "bucket").filter("a <> centre AND la <> lb AND (lb = main OR a < b)")
-    pairs = _candidates(pairs.select("a", "b"), summaries, percent)
-    # A pair of one bucket may have been tested for another, as a member and its centre.
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = parked(_linked(pairs, _with_missing(sets, pairs, docs, classes, shingle_words), percent))
-    return components(links.unionByName(more)) if more.limit(1).count() else labels
-
-
-def _with_missing(sets: DataFrame, pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
+    grouped = there.join(main, "bucket").select("node", "label", "main").distinct()
+    degrees = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n"))
+    hubs = degrees.join(labels, "node").groupBy(F.col("label").alias("main")).agg(F.max(F.struct("n", "node")).alias("hub"))
+    hubs = hubs.select("main", F.col("hub.node").alias("hub"))
+    grouped = parked(grouped.join(hubs, "main", "left").withColumn("hub", F.coalesce("hub", "main")))
+    if not grouped.limit(1).count():
+        return labels
+    sets = _with_missing(sets, grouped, docs, classes, shingle_words)
+    close, pairs = _differences(grouped, sets, percent)
+    links = links.unionByName(parked(close)).unionByName(parked(_linked(_candidates(pairs, summaries, percent), sets, percent)))
+    return components(links)
+
+
+def _differences(grouped: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links with the hub, and candidate pairs of members, both as ``a, b``.
+
+    Two sets of n and m shingles are similar enough if they differ in at most T = (n + m) (100 - percent) / (100 +
+    percent). Let D be what a set and the hub's do not have in common, so that two sets differ in what their Ds do not
+    have in common. A pair can only be a link if its Ds share (|D| + |D'| - T) / 2, so the rarest that
+    they share must come early in both, in order of rarity: edits that nobody else has rule out most pairs unseen.
+    """
+    pair = grouped.join(sets, "node").join(sets.withColumnsRenamed({"node": "hub", "shingles": "hub_shingles"}), "hub")
+    lost, won = F.array_except("hub_shingles", "shingles"), F.array_except("shingles", "hub_shingles")
+    pair = pair.select("hub", "main", "node", "label", F.size("shingles").alias("n"), F.size("hub_shingles").alias("m"), F.concat(lost, won).alias("d"))
+    pair = parked(pair.withColumn("size", F.size("d")))
+    close = pair.filter((100 + percent) * F.col("size") <= (100 - percent) * (F.col("n") + F.col("m"))).filter("node <> hub")
+    opened = pair.select("hub", "main", "node", "label", "n", "size", F.explode("d").alias("shingle"))
+    rarity = opened.groupBy("hub", "shingle").agg(F.count("*").alias("rarity"))
+    placed = opened.join(rarity.filter("rarity > 1"), ["hub", "shingle"])
+    # What only one set has comes first, and is never shared: the others are placed from the end.
+    from_end = F.row_number().over(Window.partitionBy("hub", "node").orderBy(F.desc("rarity"), "shingle"))
+    placed = parked(placed.withColumn("from_end", from_end).drop("rarity"))
+    x = placed.filter("label <> main").select("hub", "shingle", *[F.col(c).alias(f"{c}_x") for c in ("main", "node", "label", "n", "size", "from_end")])
+    y = placed.select("hub", "shingle", *[F.col(c).alias(f"{c}_y") for c in ("node", "label", "n", "size", "from_end")])
+    both = F.col("n_x") + F.col("n_y")
+    most = F.floor(both * (100 - percent) / (100 + percent))
+    shared = F.greatest(F.ceil((F.col("size_x") + F.col("size_y") - most) / 2), F.lit(1))
+    enough = (F.col("from_end_x") >= shared) & (F.col("from_end_y") >= shared)
+    sizes = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    apart = F.expr("label_x <> label_y AND (label_y = main_x OR node_x < node_y)")
+    same = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle"))
+    pairs = x.alias("x").join(y.alias("y"), same & apart & sizes & enough)
+    pairs = pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    return close.select(F.col("node").alias("a"), F.col("hub").alias("b")), pairs
+
+
+def _with_missing(sets: DataFrame, grouped: DataFrame, docs: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
     """The sets, with those of classes that no earlier pair had."""
-    pairs = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    missing = parked(pairs.join(sets.select("node"), "node", "left_anti").join(classes.select("node", "key", "doc_id"), "node"))
+    nodes = grouped.select("node").union(grouped.select("hub")).distinct()
+    missing = parked(nodes.join(sets.select("node"), "node", "left_anti").join(classes.select("node", "key", "doc_id"), "node"))
     if not missing.limit(1).count():
         return sets
     texts = docs.join(bounded(missing.select("doc_id").distinct(), BROADCAST_ROWS), "doc_id", "left_semi")
