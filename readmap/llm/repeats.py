@@ -56,6 +56,18 @@ def shared_hashes(words: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mixed((sums[places + SHARED] - sums[places]) * back[places])
 
 
+def thinned(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which suffixes are needed where a text goes round in circles, and its suffixes have the same words in a row.
+
+    The first and last of such a row, and between them those that are the first in their ``WINDOW`` places.
+    """
+    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    last = np.concatenate([new[1:], [True]])
+    starts = np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))
+    step = (places - places[starts]) // WINDOW
+    return new | last | np.concatenate([[True], step[1:] != step[:-1]])
+
+
 def _suffixes(docs: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +77,10 @@ def _suffixes(docs: DataFrame) -> DataFrame:
                 words = word_hashes(text)
                 at = anchors(words)
                 if len(at):
-                    keys.append(shared_hashes(words, at).view(np.int64))
+                    hashes = shared_hashes(words, at)
+                    needed = thinned(hashes, at)
+                    at = at[needed]
+                    keys.append(hashes[needed].view(np.int64))
                     owners.append(np.full(len(at), d))
                     places.append(at.astype(np.int32))
             if keys:
@@ -90,7 +105,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text").withColumn("doc", F.xxhash64("doc_id", "text"))
     suffixes = parked(_suffixes(docs))
     shared = suffixes.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    shared = shared.filter("least <> most").drop("most")
+    shared = parked(shared.filter("least <> most").drop("most"))  # a table, so that a hot key's join can be split
     suffixes = parked(suffixes.join(shared, "key"))
 
     in_order = Window.partitionBy("doc").orderBy("place")
