@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readmap.llm import decontamination, line_dedup, near_duplicates, packing, quality
-from readmap.llm.common import parked, table
+from readmap.llm.common import fresh, parked, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on labels of these documents, does not reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.scored(docs, model, "_quality")
-    return scored.filter(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    score = fresh(docs, "_quality")
+    return quality.scored(docs, model, score).filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,9 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows where a text gets shorter. A document that was blank before stays.
     """
-    found = line_dedup.without_repeated_lines(docs.withColumn("_text", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_text"))
+    before = fresh(docs, "_text")
+    found = line_dedup.without_repeated_lines(docs.withColumn(before, F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col(before))
     found = found.filter(~changed | (F.regexp_replace("text", r"[\x00-\x20]+", "") != ""))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
