@@ -264,10 +264,10 @@ def _indexes(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[Br
 def _clean(shared):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = utf8(batch.column("text"))
+            texts = batch.column("text")
             keep = np.ones(len(texts), bool)
-            for start in range(0, len(texts), 1000):
-                keep[[start + found[0] for found in shared.value.find(texts[start : start + 1000])]] = False
+            for start in range(0, len(texts), 500):
+                keep[[start + found[0] for found in shared.value.find(utf8(texts.slice(start, 500)))]] = False
             yield batch.filter(pa.array(keep))
 
     return clean
@@ -279,9 +279,9 @@ def _search(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-            for start in range(0, len(texts), 1000):
-                part, columns = texts[start : start + 1000], [[] for _ in schema]
+            doc_ids = batch.column(0).to_pylist()
+            for start in range(0, len(doc_ids), 500):
+                part, columns = utf8(batch.column(1).slice(start, 500)), [[] for _ in schema]
                 for text, item, first, end, edits in index.find(part):
                     raw = part[text]
                     # A region begins and ends with whole characters, or takes those it cuts.

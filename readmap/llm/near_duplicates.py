@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from readmap.llm.common import bounded, fresh, parked
 from readmap.llm.components import components
 from readmap.llm.shingles import mixed, shingle_set, word_hashes
-from readmap.llm.tokens import utf8
+from readmap.llm.tokens import each_utf8, utf8
 
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
@@ -80,7 +80,7 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
         kinds = [pa.int64(), pa.binary(), longs, longs]
         for batch in batches:
             columns: list[list] = [[], [], [], []]
-            for text in utf8(batch.column(1)):
+            for text in each_utf8(batch.column(1)):
                 shingles = shingle_set(word_hashes(text), shingle_words)
                 row = (0, b"", None, None)
                 if len(shingles):
@@ -101,11 +101,11 @@ def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            found = [shingle_set(word_hashes(text), shingle_words) for text in utf8(batch.column(0))]
-            keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in found], pa.binary())
-            for start in range(0, len(found), 500):
-                part = pa.array([s.view(np.int64) for s in found[start : start + 500]], pa.list_(pa.int64()))
-                yield pa.record_batch([keys.slice(start, 500), part], ["key", "shingles"])
+            for start in range(0, batch.num_rows, 500):
+                found = [shingle_set(word_hashes(text), shingle_words) for text in utf8(batch.column(0).slice(start, 500))]
+                keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in found], pa.binary())
+                part = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                yield pa.record_batch([keys, part], ["key", "shingles"])
 
     return docs.select("text").mapInArrow(sets, "key binary, shingles array<long>")
 

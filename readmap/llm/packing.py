@@ -45,10 +45,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 2
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
+            doc_ids = batch.column(0).to_pylist()
             columns: list[list] = [[] for _ in names]
-            for at in range(0, len(texts), 256):
-                for doc_id, raw in zip(doc_ids[at : at + 256], encode(texts[at : at + 256])):
+            for at in range(0, len(doc_ids), 64):
+                for doc_id, raw in zip(doc_ids[at : at + 64], encode(utf8(batch.column(1).slice(at, 64)))):
                     raw = memoryview(raw + end)
                     for piece, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                         crc = zlib.crc32(raw[4 * start : 4 * (start + length)])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from readmap.llm.shingles import mixed
-from readmap.llm.tokens import utf8
+from readmap.llm.tokens import each_utf8, utf8
 
 BUCKETS = 1 << 18
 DIMENSIONS = 12
@@ -172,7 +172,7 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [shared.value.score(text) for text in utf8(batch.column("text"))]
+            values = [shared.value.score(text) for text in each_utf8(batch.column("text"))]
             yield batch.append_column(column, pa.array(values, pa.float64()))
 
     docs = docs.drop(column)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from readmap.llm.common import bounded, parked
 from readmap.llm.shingles import mixed, rows_of, word_hashes
-from readmap.llm.tokens import utf8
+from readmap.llm.tokens import each_utf8
 
 PASSAGE, WINDOW, SEED = 50, 12, 4
 SHARED = PASSAGE - WINDOW + 1
@@ -73,7 +73,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
         for batch in batches:
             doc = batch.column(0).to_numpy()
             keys, owners, places = [], [], []
-            for d, text in zip(doc, utf8(batch.column(1))):
+            for d, text in zip(doc, each_utf8(batch.column(1))):
                 words = word_hashes(text)
                 at = anchors(words)
                 if len(at):
@@ -163,7 +163,7 @@ def _around(side: str):
         reach = WINDOW - 1
         for batch in batches:
             columns: list[list] = [[] for _ in range(5)]
-            for doc, text, asked in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
+            for doc, text, asked in zip(batch.column(0).to_pylist(), each_utf8(batch.column(1)), batch.column(2).to_pylist()):
                 words = word_hashes(text).astype(">u8")
                 for a in asked:
                     if side == "left":
@@ -228,7 +228,7 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "first_word", "n_words", "start", "end", "is_first"]
     for batch in batches:
         columns: list[list] = [[] for _ in names]
-        for doc_id, text, spans in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
+        for doc_id, text, spans in zip(batch.column(0).to_pylist(), each_utf8(batch.column(1)), batch.column(2).to_pylist()):
             merged: list[list] = []
             for span in sorted((s["first"], s["end"], s["is_first"]) for s in spans):
                 if merged and span[0] <= merged[-1][1]:

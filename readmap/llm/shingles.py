@@ -5,7 +5,7 @@ import numpy as np
 from readmap.llm.common import worker_state
 
 #: Words whose hashes a Python worker remembers; beyond, it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def word_hashes(text: bytes) -> np.ndarray:

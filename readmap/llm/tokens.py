@@ -7,6 +7,7 @@ is, since normalising and splitting would leave it alone; other new chunks go th
 
 import re
 from array import array
+from collections.abc import Iterator
 
 from readmap.llm.common import worker_state
 
@@ -107,3 +108,9 @@ def utf8(column) -> list[bytes]:
     import pyarrow as pa
 
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+
+
+def each_utf8(column, step: int = 100) -> Iterator[bytes]:
+    """The same one by one, with few of them in memory."""
+    for start in range(0, len(column), step):
+        yield from utf8(column.slice(start, step))

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from plain import edit_distance, nearest_substring
+from brute_force import edit_distance, nearest_substring
 
 from readmap.llm.decontamination import Index, contaminated, gram_hashes, normalised, without_contaminated
 

@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from plain import edit_distance
+from brute_force import edit_distance
 
 from readmap.llm import line_dedup as ld
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from plain import near_components, shingles
+from brute_force import near_components, shingles
 
 from readmap.llm import near_duplicates as nd
 from readmap.llm.components import components

@@ -1,7 +1,7 @@
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import near_components
+from brute_force import near_components
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
