@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readmap.scratch import shared_folder
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,3 +39,15 @@ def fresh(frame: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def map_texts(frame: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` for rows that are whole texts.
+
+    Ten thousand of them, Spark's default for a batch, take much memory on both sides: where the session
+    has that default, it is lowered.
+    """
+    settings = frame.sparkSession.conf
+    if settings.get(BATCH_SETTING, "10000") == "10000":
+        settings.set(BATCH_SETTING, "500")
+    return frame.mapInArrow(function, schema)

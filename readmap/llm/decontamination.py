@@ -20,6 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from readmap.llm.common import map_texts
 from readmap.llm.tokens import utf8
 
 Q = 10
@@ -238,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
     """
     docs, found = docs.select("doc_id", "text"), None
     for index in _indexes(benchmark, rate, block_bytes):
-        one = docs.mapInArrow(_search(index), FOUND)
+        one = map_texts(docs, _search(index), FOUND)
         found = one if found is None else found.unionByName(one)
     return found
 
@@ -246,7 +247,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs``, with all columns, without the rows in which ``contaminated`` finds a region."""
     for index in _indexes(benchmark, rate, block_bytes):
-        docs = docs.mapInArrow(_clean(index), docs.schema)
+        docs = map_texts(docs, _clean(index), docs.schema)
     return docs
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from readmap.llm.common import map_texts
+
 #: Pages that a model is trained on, at most: those with the smallest hash of their id and html, cut for
 #: training (not for extraction) to so many characters.
 SAMPLE_PAGES = 300
@@ -485,8 +487,11 @@ def train(pages: list[str], variants: int = 6, seed: int = 1) -> Model:
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Model:
     """Train on at most ``sample_pages`` pages, which reach the driver."""
-    chosen = pages.select(F.substring("html", 1, SAMPLE_CHARS).alias("html"), F.xxhash64("page_id", "html").alias("_order"))
-    rows = chosen.filter("html <> ''").orderBy("_order", "html").limit(sample_pages).select("html").collect()
+    order = F.xxhash64("page_id", "html")
+    pages = pages.select("page_id", "html").filter("html <> ''")
+    chosen = [row[0] for row in pages.select(order.alias("order")).distinct().orderBy("order").limit(sample_pages).collect()]
+    found = pages.filter(order.isin(chosen)).select(order.alias("order"), F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    rows = found.dropDuplicates(["order"]).orderBy("order").collect()
     return train([row.html for row in rows])
 
 
@@ -512,4 +517,4 @@ def extracted(pages: DataFrame, model: Model) -> DataFrame:
 
     pages = pages.select("page_id", "url", "html")
     schema = StructType([*pages.schema.fields[:2], StructField("text", StringType()), StructField("n_chars", LongType())])
-    return pages.mapInArrow(extract, schema)
+    return map_texts(pages, extract, schema)

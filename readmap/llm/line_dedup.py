@@ -3,20 +3,24 @@
 A line of the smaller or equal length is cut into ``EDITS + 1`` segments. Whatever two edits do to it, one segment
 stays whole, and the number of edits before and after it bounds where it can stand in the other line. So each
 line is entered under the hashes of its segments (with length and segment number), and looked up under
-those of the few substrings that could be a segment of a line as long or up to two shorter. Pairs that meet
-are verified: without their common beginning and end, by a banded bit-parallel automaton that holds, for each
+those of the few substrings that could be a segment of a line as long or up to two shorter. Pairs that meet, and
+whose counts of some letters differ by no more than the edits allow, are verified: without their common beginning and end, by a banded bit-parallel automaton that holds, for each
 number of edits, the diagonals reached as bits of one number.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readmap.llm.common import bounded, parked
+from readmap.llm.common import bounded, fresh, parked
 
 EDITS = 2
 #: Code points from which a line takes part; shorter lines stay.
 LEAST_LENGTH = 20
+#: Letters that are counted; any would do, frequent ones tell most.
+COUNTED = "etnaisrohdlucmwb"
 BROADCAST_ROWS = 1_000_000
+# Fixed value: characters that do not count at a line's ends.
+BLANKS = "".join(map(chr, range(33)))
 
 
 def _measured(lines: DataFrame) -> DataFrame:
@@ -64,15 +68,39 @@ def _key(shorter: int, number: int, part: Column) -> Column:
     return F.xxhash64(F.col("length") - shorter, F.lit(number), part)
 
 
+def _letters() -> Column:
+    """How often a line has each of the counted letters, modulo 16, as digits of one number."""
+    line = F.col("line")
+    counts = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
+    return sum((F.shiftleft((n % 16).cast("long"), 4 * i) for i, n in enumerate(counts)), F.lit(0).cast("long"))
+
+
+def _alike(a: str, b: str) -> Column:
+    """Whether the counts differ by two for each edit at most: one letter less, another more."""
+    digits = [(f"(shiftright({a}, {4 * i}) & 15L)", f"(shiftright({b}, {4 * i}) & 15L)") for i in range(len(COUNTED))]
+    steps = [f"abs((({x} - {y} + 8) & 15L) - 8)" for x, y in digits]
+    return F.expr(f"{' + '.join(steps)} <= {2 * EDITS}")
+
+
 def edit_links(classes: DataFrame) -> DataFrame:
     """All pairs ``a, b`` of distinct lines with at most ``EDITS`` edits, from ``node long, line string, length int``."""
     measured = _measured(classes.filter(F.col("length") >= LEAST_LENGTH))
-    entered = measured.select(F.explode(F.array(*_entries())).alias("key"), F.col("node").alias("a"))
-    looked = measured.select(F.explode(F.array(*_lookups())).alias("key"), F.col("node").alias("b"))
-    pairs = entered.join(looked, "key").filter("a <> b")
+    keys = [F.struct(key.alias("key"), F.lit(True).alias("entered")) for key in _entries()]
+    keys += [F.struct(key.alias("key"), F.lit(False).alias("entered")) for key in _lookups()]
+    keyed = measured.select(F.inline(F.array(*keys)), "node")
+    # Keys under which one line is entered and another one looked up: few lines have any.
+    alike = Window.partitionBy("key")
+    several = F.min("node").over(alike) != F.max("node").over(alike)
+    both = F.bool_or("entered").over(alike) & ~F.bool_and("entered").over(alike)
+    keyed = parked(keyed.withColumn("met", several & both).filter("met").drop("met"))
+    nodes = bounded(keyed.select("node").distinct(), BROADCAST_ROWS)
+    texts = parked(classes.select("node", "line").join(nodes, "node", "left_semi").withColumn("letters", _letters()))
+    keyed = parked(keyed.join(texts.select("node", "letters"), "node"))
+    entered = keyed.filter("entered").select("key", F.col("node").alias("a"), F.col("letters").alias("ca"))
+    looked = keyed.filter("NOT entered").select("key", F.col("node").alias("b"), F.col("letters").alias("cb"))
+    pairs = entered.join(looked, "key").filter(F.col("a") != F.col("b")).filter(_alike("ca", "cb"))
     pairs = parked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = parked(classes.select("node", "line").join(bounded(met, BROADCAST_ROWS), "node", "left_semi"))
+    texts = texts.select("node", "line")
     first = texts.withColumnsRenamed({"node": "a", "line": "la"}).join(bounded(pairs, BROADCAST_ROWS), "a")
     both = first.join(texts.withColumnsRenamed({"node": "b", "line": "lb"}), "b")
     return both.filter(within_edits("la", "lb")).select("a", "b")
@@ -96,7 +124,7 @@ def within_edits(a: str, b: str) -> Column:
     width = 2 * EDITS + 1
     full = (1 << width) - 1
     same = " | ".join(
-        f"if(j + {d - EDITS} BETWEEN 1 AND size(x) AND x[j + {d - EDITS - 1}] = y[j - 1], {1 << d}, 0)" for d in range(width)
+        f"if(j + {d - EDITS} BETWEEN 1 AND size(p.x) AND p.x[j + {d - EDITS - 1}] = p.y[j - 1], {1 << d}, 0)" for d in range(width)
     )
     # By number of edits: match, else substitution (same diagonal) or insertion (one less), then deletions.
     step, previous = [], None
@@ -111,11 +139,12 @@ def within_edits(a: str, b: str) -> Column:
     moved = ", ".join(f"'s{e}', {bits}" for e, bits in enumerate(step))
     carried = ", ".join(f"'s{e}', r.s{e}" for e in range(EDITS + 1))
     run = (
-        f"aggregate(sequence(1, size(y)), named_struct({opening}), (q, j) -> "
+        f"aggregate(sequence(1, size(p.y)), named_struct({opening}), (q, j) -> "
         f"transform(array(named_struct('same', {same}, {carried.replace('r.', 'q.')})), r -> named_struct({moved}))[0])"
     )
-    run = f"if(size(y) = 0, named_struct({opening}), {run})"
-    reached = f"(({run}).s{EDITS} & shiftleft(1, least(greatest(size(x) - size(y) + {EDITS}, 0), {width}))) <> 0"
+    run = f"if(size(p.y) = 0, named_struct({opening}), {run})"
+    end = f"least(greatest(size(p.x) - size(p.y) + {EDITS}, 0), {width})"
+    reached = f"(({run}).s{EDITS} & shiftleft(1, {end})) <> 0"
     middle = (
         f"transform(array(named_struct('n', {_common_prefix(a, b)})), v -> "
         f"named_struct('x', substring({a}, v.n + 1), 'y', substring({b}, v.n + 1)))[0]"
@@ -126,18 +155,18 @@ def within_edits(a: str, b: str) -> Column:
         f"transform(array({middle}), v -> transform(array({tail}), n -> named_struct("
         f"'x', {letters.format('substring(v.x, 1, length(v.x) - n)')}, 'y', {letters.format('substring(v.y, 1, length(v.y) - n)')}))[0])[0]"
     )
-    verdict = f"transform(array({inner}), p -> {reached.replace('size(x)', 'size(p.x)').replace('size(y)', 'size(p.y)').replace('x[j', 'p.x[j').replace('y[j', 'p.y[j')})[0]"
-    return F.expr(f"abs(length({a}) - length({b})) <= {EDITS} AND {verdict}")
+    # A transform of one element gives a name to what several parts of an expression need.
+    return F.expr(f"abs(length({a}) - length({b})) <= {EDITS} AND transform(array({inner}), p -> {reached})[0]")
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """A row for each line of each text, with its place and the hashes of what is compared."""
-    lines = docs.select(
+    lines = docs.select("doc_id", "text").select(
         F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"),
         F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
     )
-    lines = lines.withColumn("line", F.regexp_replace("line", r"^[\x00-\x20]+|[\x00-\x20]+$", ""))
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
     return lines.filter(F.length("line") >= LEAST_LENGTH).withColumns(
         {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}
     )
@@ -181,8 +210,9 @@ def line_report(docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_lines, n_exact, n_near, n_links, n_removed``.
 
     Lines of ``LEAST_LENGTH`` code points, without white space around, take part. One is removed if a line
-    before it, in order of ``doc_id`` and line, is equal (``n_exact``) or at most ``EDITS`` edits away (``n_near``). ``n_links`` counts, for each of its lines, the distinct texts within the edits. NULL and empty
-    texts have no lines; NULL ids come last in the order; rows equal in id and text are treated alike.
+    before it, in order of ``doc_id`` and line, is equal (``n_exact``) or at most ``EDITS`` edits away (``n_near``).
+    ``n_links`` counts, for each of its lines, the distinct texts within the edits. NULL and empty texts have no
+    lines; NULL ids come last in the order; rows equal in id and text are treated alike.
     """
     docs = docs.select("doc_id", "text")
     doc, text_hash = F.coalesce("doc_id", F.lit((1 << 63) - 1)), F.xxhash64("text")
@@ -201,10 +231,11 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     A text that loses all its lines is empty; one that loses none is left as it is, to the byte.
     """
-    dropped = judged_lines(docs).filter("exact OR near").groupBy("doc", "text_hash").agg(F.collect_set("line_no").alias("_dropped"))
-    keys = {"_doc": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "_text_hash": F.xxhash64("text")}
-    dropped = bounded(parked(dropped.withColumnsRenamed({"doc": "_doc", "text_hash": "_text_hash"})), BROADCAST_ROWS // 5)
-    kept = "array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(_dropped, i)), '\\n')"
-    found = docs.withColumns(keys).join(dropped, ["_doc", "_text_hash"], "left")
-    found = found.withColumn("text", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.expr(kept)))
+    doc, text_hash, gone = (fresh(docs, name) for name in ("_doc", "_text_hash", "_dropped"))
+    dropped = judged_lines(docs).filter("exact OR near").groupBy("doc", "text_hash").agg(F.collect_set("line_no").alias(gone))
+    dropped = bounded(parked(dropped.withColumnsRenamed({"doc": doc, "text_hash": text_hash})), BROADCAST_ROWS // 5)
+    keyed = docs.withColumns({doc: F.coalesce("doc_id", F.lit((1 << 63) - 1)), text_hash: F.xxhash64("text")})
+    kept = f"array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains({gone}, i)), '\\n')"
+    found = keyed.join(dropped, [doc, text_hash], "left")
+    found = found.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.expr(kept)))
     return found.select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readmap.llm.common import bounded, fresh, parked
+from readmap.llm.common import bounded, fresh, map_texts, parked
 from readmap.llm.components import components
 from readmap.llm.shingles import mixed, shingle_set, word_hashes
 from readmap.llm.tokens import each_utf8, utf8
@@ -91,7 +91,8 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
             arrays = [batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(c, t) for c, t in zip(columns, kinds))]
             yield pa.record_batch(arrays, ["doc_id", "text_hash", "n_shingles", "key", "sketch", "bands"])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(sketch, SKETCHED)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return map_texts(texts, sketch, SKETCHED)
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -107,7 +108,7 @@ def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
                 part = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
                 yield pa.record_batch([keys, part], ["key", "shingles"])
 
-    return docs.select("text").mapInArrow(sets, "key binary, shingles array<long>")
+    return map_texts(docs.select("text"), sets, "key binary, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readmap.llm.common import parked
+from readmap.llm.common import map_texts, parked
 from readmap.llm.tokens import ByteEncoder, encoder, utf8
 
 #: Pieces that a group packs in the first round, groups that the next round brings together, and the
@@ -56,7 +56,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 2
                             column.append(value)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, PIECE)
+    return map_texts(docs.select("doc_id", "text"), pieces, PIECE)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

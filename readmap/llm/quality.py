@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from readmap.llm.common import map_texts
 from readmap.llm.shingles import mixed
 from readmap.llm.tokens import each_utf8, utf8
 
@@ -26,7 +27,7 @@ DIMENSIONS = 12
 EPOCHS = 8
 RATE = 0.5
 #: Labelled texts that a model is fitted on, at most: those with the smallest hash of the id, equally many of each class if there are.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_000
 #: Features without meaning that every text has besides its own, so that short texts stay near the average.
 BLANKS = 20
 NGRAMS = (3, 4)
@@ -120,7 +121,7 @@ def train(texts: list[bytes], labels: list[int], dimensions: int = DIMENSIONS, e
             buckets, n = bags[i]
             label, now = labels[i], rate * (1 - step / steps)
             step += 1
-            shares = n / (n.sum() + BLANKS)
+            shares = n / np.float32(n.sum() + BLANKS)
             average = shares @ vectors[buckets]
             logits = weights @ average + bias
             chances = np.exp(logits - logits.max())
@@ -138,7 +139,7 @@ def train(texts: list[bytes], labels: list[int], dimensions: int = DIMENSIONS, e
 
 def _bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     buckets, n = np.unique(features(text).astype(np.int32), return_counts=True)
-    return buckets, n.astype(np.float32)
+    return buckets, np.minimum(n, 65535).astype(np.uint16)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -176,4 +177,4 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             yield batch.append_column(column, pa.array(values, pa.float64()))
 
     docs = docs.drop(column)
-    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+    return map_texts(docs, score, StructType([*docs.schema.fields, StructField(column, DoubleType())]))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readmap.llm.common import bounded, parked
+from readmap.llm.common import bounded, map_texts, parked
 from readmap.llm.shingles import mixed, rows_of, word_hashes
 from readmap.llm.tokens import each_utf8
 
@@ -87,7 +87,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(np.concatenate(c)) for c in (keys, owners, places)]
                 yield pa.record_batch(columns, ["key", "doc", "place"])
 
-    return docs.select("doc", "text").mapInArrow(find, "key long, doc long, place int")
+    return map_texts(docs.select("doc", "text"), find, "key long, doc long, place int")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         (F.col("last") + SHARED + F.coalesce("right", F.lit(0))).alias("end"), "is_first",
     )
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "end", "is_first")).alias("spans"))
-    return texts.join(spans, "doc").select("doc_id", "text", "spans").mapInArrow(_located, SPANS)
+    return map_texts(texts.join(spans, "doc").select("doc_id", "text", "spans"), _located, SPANS)
 
 
 def _extended(ends: DataFrame, texts: DataFrame, side: str) -> DataFrame:
@@ -142,7 +142,7 @@ def _extended(ends: DataFrame, texts: DataFrame, side: str) -> DataFrame:
     asked = ends.join(keys, "key", "left_semi").withColumn("inside", inside)
     asked = asked.groupBy("doc").agg(F.collect_list(F.struct("key", "place", "run", "inside")).alias("asked"))
     schema = "key long, around binary, doc long, run long, inside int"
-    around = texts.select("doc", "text").join(asked, "doc").mapInArrow(_around(side), schema)
+    around = map_texts(texts.select("doc", "text").join(asked, "doc"), _around(side), schema)
     ordered = parked(around).repartitionByRange("key", "around", "doc").sortWithinPartitions("key", "around", "doc")
     compared = parked(ordered.mapInArrow(_neighbours, f"{schema}, words int, edge boolean"))
     # The outermost rows of each partition, compared once more across partitions: up to four for each.

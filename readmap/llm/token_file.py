@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readmap.llm.common import map_texts
 from readmap.llm.tokens import WordEncoder, encoder, utf8
 from readmap.sources.files import open_file, open_path
 
@@ -170,7 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     # Collected at once, one row per file: run again, the tasks would write other files.
     listing = "part int, file string, documents long, tokens long"
-    return docs.sparkSession.createDataFrame(docs.mapInArrow(write, listing).collect(), listing)
+    return docs.sparkSession.createDataFrame(map_texts(docs, write, listing).collect(), listing)
 
 
 def read_token_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
