@@ -59,16 +59,19 @@ def one_mismatch_map(
     What is unmapped, and how many neighbours it has, is decided by the whole mask. Coordinates come
     from ``positions`` where given, a part of the mask: a barcode whose neighbour that lacks has none.
 
-    Each unmapped barcode is spelled out into its neighbours (75 for 25 bases) and these are looked
-    up by equality, so work grows with the number of distinct unmapped barcodes, never with pairs.
+    Two barcodes one base apart have one half in common: both go under their two halves, and those
+    that meet are compared. Work grows with the barcodes, and with what shares a half, never with pairs.
     """
     keys = _keys(mask)
     unmapped = captured.select("barcode").distinct().join(keys, "barcode", "left_anti")
-    steps = ", ".join(f"bigint('{m}')" for m in neighbour_masks(length, masks, start))
-    neighbours = unmapped.select("barcode", F.explode(F.expr(f"array({steps})")).alias("_step")).select(
-        "barcode", F.col("barcode").bitwiseXOR(F.col("_step")).alias("mask_barcode")
-    )
-    hits = neighbours.join(keys.withColumnRenamed("barcode", "mask_barcode"), "mask_barcode")
+    if masks == "base":
+        hits = _one_base_apart(unmapped, keys, length, start)
+    else:
+        steps = ", ".join(f"bigint('{m}')" for m in neighbour_masks(length, masks, start))
+        neighbours = unmapped.select("barcode", F.explode(F.expr(f"array({steps})")).alias("_step")).select(
+            "barcode", F.col("barcode").bitwiseXOR(F.col("_step")).alias("mask_barcode")
+        )
+        hits = neighbours.join(keys.withColumnRenamed("barcode", "mask_barcode"), "mask_barcode")
     nearest = hits.groupBy("barcode").agg(
         F.count("*").alias("_n"), F.min("mask_barcode").alias("mask_barcode")
     )
@@ -79,5 +82,26 @@ def one_mismatch_map(
     return placed.select("barcode", "mask_barcode", "x", "y")
 
 
+def _one_base_apart(barcodes: DataFrame, keys: DataFrame, length: int, start: int) -> DataFrame:
+    """Pairs ``barcode, mask_barcode`` that differ in exactly one base of the window."""
+    bases = [3 << (2 * ((start + i) % 32)) for i in range(length)]
+    halves = [_signed(sum(set(bases[: length // 2]))), _signed(sum(set(bases[length // 2 :])))]
+
+    def under_halves(frame: DataFrame, name: str) -> DataFrame:
+        parts = [F.struct(F.lit(n).alias("part"), F.col("barcode").bitwiseAND(F.lit(h)).alias("half")) for n, h in enumerate(halves)]
+        return frame.select(F.col("barcode").alias(name), F.inline(F.array(*parts)))
+
+    met = under_halves(barcodes, "barcode").join(under_halves(keys, "mask_barcode"), ["part", "half"])
+    differ = F.col("barcode").bitwiseXOR(F.col("mask_barcode"))
+    base = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
+    outside = differ.bitwiseAND(F.lit(_signed(~(halves[0] | halves[1]))))
+    return met.filter((F.bit_count(base) == 1) & (outside == 0)).select("barcode", "mask_barcode")
+
+
+def _signed(bits: int) -> int:
+    bits &= (1 << 64) - 1
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _keys(mask: DataFrame) -> DataFrame:
     return mask.select("barcode").distinct()
