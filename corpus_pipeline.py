@@ -24,7 +24,7 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` follows where a text gets shorter. A document that was blank before stays.
     """
     before = fresh(docs, "_text")
-    found = line_dedup.without_repeated_lines(docs.withColumn(before, F.col("text")))
+    found = line_dedup.without_repeated_lines(docs.withColumn(before, F.col("text")), shortest=1)
     changed = ~F.col("text").eqNullSafe(F.col(before))
     found = found.filter(~changed | (F.regexp_replace("text", r"[\x00-\x20]+", "") != ""))
     if "n_chars" in docs.columns:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from readmap.llm.common import bounded, fresh, parked
 
 EDITS = 2
-#: Code points from which a line takes part; shorter lines stay.
+#: Code points from which a line is compared with others by edits; shorter ones repeat as exact copies only.
 LEAST_LENGTH = 20
 #: Letters that are counted; any would do, frequent ones tell most.
 COUNTED = "etnaisrohdlucmwb"
@@ -159,31 +159,31 @@ def within_edits(a: str, b: str) -> Column:
     return F.expr(f"abs(length({a}) - length({b})) <= {EDITS} AND transform(array({inner}), p -> {reached})[0]")
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """A row for each line of each text, with its place and the hashes of what is compared."""
+def line_rows(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
+    """A row for each line of ``shortest`` code points, with its place and the hashes of what is compared."""
     lines = docs.select("doc_id", "text").select(
         F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"),
         F.xxhash64("text").alias("text_hash"),
         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
     )
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
-    return lines.filter(F.length("line") >= LEAST_LENGTH).withColumns(
+    return lines.filter(F.length("line") >= shortest).withColumns(
         {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}
     )
 
 
-def line_classes(docs: DataFrame) -> DataFrame:
+def line_classes(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
     """``node, h1, h2, line, length, copies, first``: distinct lines and the place where each is first."""
-    lines = line_rows(docs)
+    lines = line_rows(docs, shortest)
     place = F.struct("doc", "text_hash", "line_no")
     classes = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.count("*").alias("copies"), F.min(place).alias("first"))
     classes = classes.withColumn("length", F.length("line"))
     return parked(classes.withColumn("node", F.monotonically_increasing_id()))
 
 
-def judged_classes(docs: DataFrame) -> DataFrame:
+def judged_classes(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
     """``h1, h2, first, links, near``: each class of lines that is repeated or linked, and whether an earlier line is near."""
-    classes = line_classes(docs)
+    classes = line_classes(docs, shortest)
     links = parked(edit_links(classes.select("node", "line", "length")))
     both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
     linked = bounded(both.select(F.col("a").alias("node")).distinct(), BROADCAST_ROWS)
@@ -195,22 +195,23 @@ def judged_classes(docs: DataFrame) -> DataFrame:
     return near.unionByName(repeated.select("h1", "h2", "first", F.lit(0).cast("long").alias("links"), F.lit(False).alias("near")))
 
 
-def judged_lines(docs: DataFrame) -> DataFrame:
+def judged_lines(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
     """The lines that are repeated or linked: ``doc, text_hash, line_no, links, near, exact``.
 
     ``near``: an earlier line of another text is within ``EDITS``. ``exact``: it is a copy of an earlier line.
     """
-    judged = parked(judged_classes(docs))
-    lines = line_rows(docs).drop("line").join(judged, ["h1", "h2"])
+    judged = parked(judged_classes(docs, shortest))
+    lines = line_rows(docs, shortest).drop("line").join(judged, ["h1", "h2"])
     place = F.struct("doc", "text_hash", "line_no")
     return lines.select("doc", "text_hash", "line_no", "links", "near", (place > F.col("first")).alias("exact"))
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
     """Per document: ``doc_id, n_lines, n_exact, n_near, n_links, n_removed``.
 
-    Lines of ``LEAST_LENGTH`` code points, without white space around, take part. One is removed if a line
-    before it, in order of ``doc_id`` and line, is equal (``n_exact``) or at most ``EDITS`` edits away (``n_near``).
+    Lines of ``shortest`` code points, without white space around, take part; 1 takes every line that is not
+    blank. One is removed if a line before it, in order of ``doc_id`` and line, is equal (``n_exact``) or, where both
+    have ``LEAST_LENGTH`` code points, at most ``EDITS`` edits away (``n_near``).
     ``n_links`` counts, for each of its lines, the distinct texts within the edits. NULL and empty texts have no
     lines; NULL ids come last in the order; rows equal in id and text are treated alike.
     """
@@ -218,7 +219,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     doc, text_hash = F.coalesce("doc_id", F.lit((1 << 63) - 1)), F.xxhash64("text")
     plain = docs.select("doc_id", doc.alias("doc"), text_hash.alias("text_hash"), F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0).cast("long").alias("n_lines"))
     removed = F.col("exact") | F.col("near")
-    counts = judged_lines(docs).distinct().groupBy("doc", "text_hash").agg(
+    counts = judged_lines(docs, shortest).distinct().groupBy("doc", "text_hash").agg(
         F.count_if("exact").alias("n_exact"), F.count_if("near").alias("n_near"),
         F.sum("links").alias("n_links"), F.count_if(removed).alias("n_removed"),
     )
@@ -226,13 +227,13 @@ def line_report(docs: DataFrame) -> DataFrame:
     return found.fillna(0, ["n_exact", "n_near", "n_links", "n_removed"])
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, shortest: int = LEAST_LENGTH) -> DataFrame:
     """``docs`` without the lines that ``line_report`` counts as removed; all rows and columns stay.
 
     A text that loses all its lines is empty; one that loses none is left as it is, to the byte.
     """
     doc, text_hash, gone = (fresh(docs, name) for name in ("_doc", "_text_hash", "_dropped"))
-    dropped = judged_lines(docs).filter("exact OR near").groupBy("doc", "text_hash").agg(F.collect_set("line_no").alias(gone))
+    dropped = judged_lines(docs, shortest).filter("exact OR near").groupBy("doc", "text_hash").agg(F.collect_set("line_no").alias(gone))
     dropped = bounded(parked(dropped.withColumnsRenamed({"doc": doc, "text_hash": text_hash})), BROADCAST_ROWS // 5)
     keyed = docs.withColumns({doc: F.coalesce("doc_id", F.lit((1 << 63) - 1)), text_hash: F.xxhash64("text")})
     kept = f"array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains({gone}, i)), '\\n')"
