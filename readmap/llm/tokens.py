@@ -3,11 +3,14 @@
 A tokenizer that drops white space never joins what white space separates, so a text is encoded chunk by chunk and
 the ids of each chunk are remembered. A new chunk that is one word of Latin letters goes to the tokenizer's model as it
 is, since normalising and splitting would leave it alone; other new chunks go through the whole tokenizer.
+
+The two encoders take what looks like an added token for plain text; ``FileEncoder`` gives them only texts without any.
 """
 
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 from readmap.llm.common import worker_state
 
@@ -94,12 +97,44 @@ class ByteEncoder:
         return [array("I", ordinary(text.decode())).tobytes() for text in texts]
 
 
-def encoder(kind: type, path: str):
+class FileEncoder:
+    """The ids that the tokenizer file gives with ``add_special_tokens=False``, added tokens inside texts included.
+
+    Texts that may hold an added token go through the file's tokenizer whole, the others through ``kind``.
+    """
+
+    def __init__(self, kind: type, path: str):
+        from tokenizers import Tokenizer
+
+        self.plain, self.path = kind(path), path
+        tokenizer = Tokenizer.from_file(path)
+        added = tokenizer.get_added_tokens_decoder().values()
+        # Those that are looked for after normalising may be written in another way; any text may hold one.
+        rewritten = tokenizer.normalizer and any(token.normalized for token in added)
+        some = b"" if rewritten else b"|".join(re.escape(token.content.encode()) for token in added)
+        self.held = re.compile(some).search if added else lambda text: None
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        whole = [self.held(text) is not None for text in texts]
+        found = iter(self.plain.encode([text for text, w in zip(texts, whole) if not w]))
+        return [self._whole(text) if w else next(found) for text, w in zip(texts, whole)]
+
+    def _whole(self, text: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+
+def encoder(kind: type, path: str) -> FileEncoder:
     """The worker's encoder for a tokenizer file."""
     state = worker_state()
     key = (kind.__name__, path)
     if getattr(state, "encoder_key", None) != key:
-        state.encoder, state.encoder_key = kind(path), key
+        state.encoder, state.encoder_key = FileEncoder(kind, path), key
     return state.encoder
 
 
