@@ -34,16 +34,18 @@ TREES, LEVELS, BINS, RATE = 60, 4, 32, 0.3
 
 # Names of HTML elements by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style title template noscript svg math select button textarea iframe object canvas audio video datalist".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements in a line that are nodes of their own, if they have an end tag.
+BOXES = frozenset("button select datalist iframe template noscript object canvas audio video".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table tbody td tfoot th"
     " thead tr ul caption".split()
-)
-ENDS_PARAGRAPH = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
+) | BOXES
+ENDS_PARAGRAPH = BLOCKS - BOXES - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 KINDS = [
     {"p"}, {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}, {"ul", "ol", "li", "dl", "dt", "dd", "menu"}, {"div", "center"},
-    {"article", "main", "section"}, {"nav", "aside", "header", "footer", "search", "dialog", "address"}, {"form", "fieldset", "legend"},
+    {"article", "main", "section"}, {"nav", "aside", "header", "footer", "search", "dialog", "address"}, {"form", "fieldset", "legend", "button", "select", "datalist"},
     {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"blockquote", "pre", "figure", "figcaption", "details", "summary"},
 ]
 KIND = {tag: number for number, tags in enumerate(KINDS) for tag in tags}
@@ -51,12 +53,13 @@ APART, CONTENT = KINDS[5] | KINDS[6], {"article", "main"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea|template|noscript|svg|iframe|select|button|math|object|canvas|audio|video|datalist)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
+    r"|<(script|style|title|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|([^<]+|<)",
     re.S | re.I,
 )
+_BOX = re.compile(rf"<(/?)({'|'.join(sorted(BOXES))})\b", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|aria-label|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _LABEL = re.compile(r"\bdata-y=\"([01])\"")
@@ -85,6 +88,8 @@ class Tree:
         stack = [("html", 0)]  # open elements; inline ones have the node of their block
         run: list[str] = []
         linked = anchors = head = 0
+        skipped = ""  # the element of the head whose content is passed over
+        closed = self._closed(page)
 
         def flush():
             nonlocal run, linked
@@ -104,6 +109,8 @@ class Tree:
         for token in _TOKEN.finditer(page):
             text = token[5]
             if text is not None:
+                if head and not skipped and text.strip():
+                    head = 0
                 if not head:
                     text = html.unescape(text) if "&" in text else text
                     run.append(text)
@@ -114,10 +121,21 @@ class Tree:
             if tag is None:
                 continue
             tag = tag.lower()
+            if skipped:
+                if tag == "body" or token[2] and tag in (skipped, "head"):
+                    skipped = ""
+                if tag not in ("body", "head"):
+                    continue
             if tag == "head":
                 head = not token[2]
                 continue
-            if tag == "body":
+            if tag in BOXES and not token[2] and token.start() not in closed:
+                continue
+            if head and not token[2] and tag != "html":
+                # The tags of the head may be left out: what cannot stand in it ends it.
+                if tag in IN_HEAD:
+                    skipped = tag if tag in BOXES else ""
+                    continue
                 head = 0
             if token[2]:
                 if tag in ("html", "body"):
@@ -129,7 +147,7 @@ class Tree:
                     if stack[depth][0] in ("td", "th", "table") and tag not in KINDS[7] and tag in BLOCKS:
                         break
                 continue
-            if head or tag in ("html",):
+            if tag == "html":
                 continue
             if tag in VOID and tag not in BLOCKS:
                 if tag == "br":
@@ -150,6 +168,21 @@ class Tree:
                 stack.append((tag, node))
         flush()
 
+    @staticmethod
+    def _closed(page: str) -> set[int]:
+        """Places of the start tags of ``BOXES`` that have an end tag of their own."""
+        opened: dict[str, list[int]] = {}
+        closed = set()
+        for tag in _BOX.finditer(page):
+            starts = opened.setdefault(tag[2].lower(), [])
+            if not tag[1]:
+                if tag[2].lower() in ("button", "select"):
+                    starts.clear()  # never inside another one
+                starts.append(tag.start())
+            elif starts:
+                closed.add(starts.pop())
+        return closed
+
     @staticmethod
     def _imply(tag: str, stack: list, close) -> None:
         """End elements that the new one ends without an end tag."""
