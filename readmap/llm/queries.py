@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readmap.llm import html_text, license_scan, packing, quality, token_file, topk_search
+from readmap.llm import fill_in_middle, html_text, license_scan, ordered_packing, packing, quality, ranked_search, token_file, topk_search
 from readmap.llm.line_dedup import line_report
 from readmap.llm.near_duplicates import near_duplicates
 from readmap.llm.common import table
@@ -81,6 +81,33 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op11_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents, in order, in sequences of 2048 ids."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return ordered_packing.pack_in_order(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=1)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its middle behind its suffix, and back, as digests."""
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=1)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,11 +121,16 @@ QUERIES = {
         op8_html_text,
         op9_repeated_passages,
         op10_near_duplicates,
+        op11_ordered_packing,
+        op12_fill_in_middle,
+        op13_ranked_search,
     )
 }
 
 ORACLES = {
     "op3_license_scan": license_scan.oracle(),
+    "op12_fill_in_middle": fill_in_middle.oracle(),
+    "op13_ranked_search": ranked_search.oracle(),
     "op1_top_k_search": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as c

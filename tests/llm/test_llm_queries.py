@@ -20,7 +20,7 @@ def test_query_agrees_with_sql(spark, name, sf):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -32,6 +32,9 @@ def test_contract_columns(spark, sf):
         "op7": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
         "op8": ["page_id", "url", "text", "n_chars"],
         "op10": ["doc_id", "n_shingles", "component_id", "kept"],
+        "op11": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+        "op12": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+        "op13": ["item_id", "rank", "doc_id", "score"],
     }
     for name, query in QUERIES.items():
         if columns := wanted.get(name.split("_")[0]):
