@@ -20,14 +20,16 @@ def edited(dice, line, edits):
     return "".join(line)
 
 
-def brute(docs):
-    """Removed lines by (id, line), and the numbers of the report by id."""
+def brute(docs, shortest=ld.LEAST_LENGTH):
+    """Removed lines by (id, line), and the numbers of the report by id; lines under 20 repeat as exact copies only."""
     lines = [(d, i, EDGES.sub("", x)) for d, t in sorted(docs.items()) for i, x in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= ld.LEAST_LENGTH]
+    lines = [x for x in lines if len(x[2]) >= shortest]
     first = {}
     for d, i, x in lines:
         first.setdefault(x, (d, i))
-    near = {x: [y for y in first if y != x and abs(len(x) - len(y)) <= ld.EDITS and edit_distance(x, y) <= ld.EDITS] for x in first}
+    long = [x for x in first if len(x) >= ld.LEAST_LENGTH]
+    near = dict.fromkeys(first, ())
+    near |= {x: [y for y in long if y != x and abs(len(x) - len(y)) <= ld.EDITS and edit_distance(x, y) <= ld.EDITS] for x in long}
     report, removed = {}, set()
     for d, i, x in lines:
         exact, close = (d, i) > first[x], any(first[y] < first[x] for y in near[x])
