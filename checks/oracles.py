@@ -229,6 +229,9 @@ ORACLES = {
     ),
     "stats_report": _with(R, M, P, _counters(), then=REPORT),
     "read_pairs": _with(R, UNEVEN1, UNEVEN2, UNEVEN, then="select * from u"),
+    "read_pairs_in_step": _with(R, UNEVEN1, UNEVEN2, UNEVEN, then="select * from u"),
+    "one_pass_counters": _with(R, M, UNEVEN1, UNEVEN2, UNEVEN, _pairs("u"), _counters(), then="select * from c"),
+    "one_pass_reads": _with(R, M, P, T, then=f"select {TAGGED_NAME} as name, sequence, quality from t"),
     "barcode_umi_windows": _with(
         R,
         then="""select name, substring(seq1, 1, 25) as barcode_bases, substring(seq1, 26, 10) as umi,

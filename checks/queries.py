@@ -26,11 +26,14 @@ from readmap.functions import (
     read_number,
     umi_bad,
 )
+from readmap import schemas
 from readmap.operators import barcodes, order
 from readmap.operators.counters import run_counters, stats_report
+from readmap.operators.in_step import pair_files
 from readmap.operators.layout import ReadLayout
 from readmap.operators.pairing import flag_adapters, mate1, pair_reads
 from readmap.operators.pairing import windows as read_windows
+from readmap.plans.one_pass import place_files
 from readmap.scratch import shared_folder
 from readmap.sinks import fastq_lines, qseq_lines, write_striped, write_tagged_fastq
 
@@ -119,6 +122,33 @@ def read_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pair_reads(*_uneven_mates(spark, sf))
 
 
+def _mate_files(spark: SparkSession, mates: tuple[DataFrame, DataFrame]) -> list[str]:
+    return [_written(spark, fastq_lines(synth.suffixed(mate))) for mate in mates]
+
+
+def read_pairs_in_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of files of one order that lack records and repeat names."""
+    return pair_files(spark, *_mate_files(spark, _uneven_mates(spark, sf)))
+
+
+def _one_pass(spark: SparkSession, sf: str, mates: tuple[DataFrame, DataFrame], out: str) -> dict[str, int]:
+    paths = _mate_files(spark, mates)
+    return place_files(spark, *paths, synth.mask(spark, sf), out, adapters=synth.ADAPTERS)
+
+
+def one_pass_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters that the writer of the placed reads has added up."""
+    counters = _one_pass(spark, sf, _uneven_mates(spark, sf), shared_folder(spark))
+    row = counters | {"mask_rows": synth.mask(spark, sf).count()}
+    return spark.createDataFrame([row], schemas.COUNTERS)
+
+
+def one_pass_reads(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark) + ".gz"
+    _one_pass(spark, sf, synth.mates(spark, sf), path)
+    return read_fastq(spark, path).select("name", "sequence", "quality")
+
+
 def windows(spark: SparkSession, sf: str) -> DataFrame:
     """Windows of two layouts: the usual one, and one with all windows inside read 2."""
     usual, other = ReadLayout(offset="window"), ReadLayout(3, 20, 2, 30, 8, 2, offset="window")
@@ -429,6 +459,9 @@ QUERIES = {
     "run_counters_repeated_names": counters_repeated_names,
     "stats_report": report,
     "read_pairs": read_pairs,
+    "read_pairs_in_step": read_pairs_in_step,
+    "one_pass_counters": one_pass_counters,
+    "one_pass_reads": one_pass_reads,
     "barcode_umi_windows": windows,
     "barcode_encode": encoded,
     "barcode_decode": decoded,

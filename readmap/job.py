@@ -9,10 +9,11 @@ if __package__ in (None, ""):  # started by spark-submit as a file
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from readmap import ReadLayout, map_barcodes, read_adapters, read_fastq, read_mask  # noqa: E402
+from readmap import ReadLayout, map_barcodes, read_adapters, read_fastq, read_mask, schemas  # noqa: E402
 from readmap.operators.counters import stats_report  # noqa: E402
+from readmap.plans.one_pass import place_files  # noqa: E402
 from readmap.sinks import write_report, write_tagged_fastq  # noqa: E402
-from readmap.sources.files import is_there  # noqa: E402
+from readmap.sources.files import is_there, list_files, qualified  # noqa: E402
 
 
 def arguments(argv=None) -> argparse.Namespace:
@@ -32,6 +33,7 @@ def arguments(argv=None) -> argparse.Namespace:
     add("-umiRead", "--umiRead", type=int, default=1)
     add("-outPartition", "--outPartition", type=int, default=0, help="number of output files, 0: as they come")
     add("--rebalance", action="store_true", help="reach outPartition by a shuffle")
+    add("--pairing", choices=["auto", "in-step", "by-name"], default="auto", help="in-step: files in one order, read once")
     add("--mode", choices=["FAILFAST", "DROP"], default="FAILFAST", help="pairs too short for their windows")
     add("--uniqueMask", action="store_true", help="drop barcodes the mask has more than once")
     add("--mismatches", type=int, choices=[0, 1], default=0)
@@ -41,10 +43,11 @@ def arguments(argv=None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
-    """Write the report, then the placed reads; returns the report's text.
+    """Write the placed reads and the report; returns the report's text.
 
-    Counting comes first: it reads everything, so a malformed input fails before any output exists. An
-    output path that is there already fails before that.
+    In step, files are read once, and the output appears when everything is written; ``auto`` takes that way if both paths
+    have equally many files. By name, counting comes first. Either way, a malformed input fails before any output
+    exists, and an output path that is there already fails before that.
     """
     if is_there(spark, args.out):
         raise FileExistsError(f"{args.out} exists")
@@ -57,24 +60,42 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         umi_read=args.umiRead,
         mode=args.mode,
     )
+    mask = read_mask(spark, args.mask)
+    adapters = read_adapters(spark, args.adapterFile) if args.adapterFile else None
     mapping = map_barcodes(
-        read_mask(spark, args.mask),
+        mask,
         read_fastq(spark, args.read1, qualityEncoding=args.inputQuality),
         read_fastq(spark, args.read2, qualityEncoding=args.inputQuality),
-        adapters=read_adapters(spark, args.adapterFile) if args.adapterFile else None,
+        adapters=adapters,
         layout=layout,
         unique=args.uniqueMask,
         mismatches=args.mismatches,
     )
-    text = write_report(stats_report(mapping.counters, layout), args.stat)
-    write_tagged_fastq(
-        mapping.tagged,
+    output = {"partitions": args.outPartition, "rebalance": args.rebalance, "quality": args.outputQuality}
+    if not _in_step(spark, args):
+        text = write_report(stats_report(mapping.counters, layout), args.stat)
+        write_tagged_fastq(mapping.tagged, args.out, **output)
+        return text
+    counters = place_files(
+        spark,
+        args.read1,
+        args.read2,
+        mapping.lookup,
         args.out,
-        partitions=args.outPartition,
-        rebalance=args.rebalance,
-        quality=args.outputQuality,
+        adapters=adapters,
+        layout=layout,
+        qualityEncoding=args.inputQuality,
+        **output,
     )
-    return text
+    row = counters | {"mask_rows": mask.count()}
+    return write_report(stats_report(spark.createDataFrame([row], schemas.COUNTERS), layout), args.stat)
+
+
+def _in_step(spark: SparkSession, args: argparse.Namespace) -> bool:
+    if args.pairing != "auto":
+        return args.pairing == "in-step"
+    one, two = (list_files(qualified(spark, path), skip=(".idx",)) for path in (args.read1, args.read2))
+    return len(one) == len(two)
 
 
 def main(argv=None) -> None:

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from readmap.functions import barcode_encode, has_adapter, q30_bases, umi_bad
 from readmap.operators.layout import ReadLayout
 
+#: Bases of all adapters that a plan may hold.
+MOST_ADAPTER_BASES = 10_000_000
+
 
 def pair_reads(reads1: DataFrame, reads2: DataFrame) -> DataFrame:
     """Mates by name; a name that occurs more than once gives every combination."""
@@ -37,9 +40,9 @@ def windows(sequence, quality, layout: ReadLayout, read: int) -> dict[str, Colum
     return columns
 
 
-def _too_short(layout: ReadLayout, read: int) -> Column:
+def too_short(layout: ReadLayout, read: int, sequence="sequence", quality="quality") -> Column:
     needed = layout.bases_needed(read)
-    return F.least(*[F.coalesce(F.length(c), F.lit(0)) for c in ("sequence", "quality")]) < needed
+    return F.least(*[F.coalesce(F.length(c), F.lit(0)) for c in (sequence, quality)]) < needed
 
 
 def whole_reads(reads: DataFrame) -> DataFrame:
@@ -66,7 +69,7 @@ def broken_reads(reads1: DataFrame, reads2: DataFrame) -> DataFrame:
 
 def mate1(reads1: DataFrame, layout: ReadLayout) -> DataFrame:
     columns = windows("sequence", "quality", layout, 1)
-    return whole_reads(reads1).select("name", _too_short(layout, 1).alias("short1"), *_named(columns))
+    return whole_reads(reads1).select("name", too_short(layout, 1).alias("short1"), *_named(columns))
 
 
 def mate2(reads2: DataFrame, layout: ReadLayout, adapters=None) -> DataFrame:
@@ -76,7 +79,7 @@ def mate2(reads2: DataFrame, layout: ReadLayout, adapters=None) -> DataFrame:
         "sequence",
         "quality",
         "adapter",
-        _too_short(layout, 2).alias("short2"),
+        too_short(layout, 2).alias("short2"),
         *_named(columns),
         q30_bases("quality").alias("read_q30"),
         F.length("sequence").alias("read_bases"),
@@ -89,9 +92,18 @@ def flag_adapters(reads: DataFrame, adapters=None) -> DataFrame:
     ``adapters`` is a list or a one-column table, which is collected: all adapters are one regular
     expression in the plan, however many there are, and no read is shuffled for them.
     """
+    return reads.withColumn("adapter", has_adapter("sequence", adapter_list(adapters)))
+
+
+def adapter_list(adapters=None) -> list[str]:
+    """Adapters as a list, of a list or a one-column table; more than ``MOST_ADAPTER_BASES`` are an error."""
     if isinstance(adapters, DataFrame):
-        adapters = [row[0] for row in adapters.toDF("adapter").filter("adapter <> ''").distinct().collect()]
-    return reads.withColumn("adapter", has_adapter("sequence", adapters or ()))
+        table = adapters.toDF("adapter").filter("adapter <> ''").distinct()
+        bases = table.agg(F.coalesce(F.sum(F.length("adapter")), F.lit(0))).first()[0]
+        if bases > MOST_ADAPTER_BASES:
+            raise ValueError(f"{bases} bases of adapters, more than {MOST_ADAPTER_BASES}")
+        adapters = [row[0] for row in table.collect()]
+    return list(adapters or ())
 
 
 def flagged_pairs(first: DataFrame, second: DataFrame, layout: ReadLayout) -> DataFrame:

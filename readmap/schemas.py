@@ -12,6 +12,8 @@ _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
 READ = _struct(name=_S, read_no=_I, sequence=_S, quality=_S)
 READ_PERMISSIVE = T.StructType(READ.fields + _struct(_corrupt_reason=_S, _file=_S, _offset=_L, _corrupt_record=_S).fields)
 PAIR = _struct(name=_S, seq1=_S, qual1=_S, seq2=_S, qual2=_S)
+_B = T.BooleanType()
+READ_PAIR = _struct(name=_S, has1=_B, seq1=_S, qual1=_S, has2=_B, seq2=_S, qual2=_S, row=_L)
 MASK = _struct(barcode=_L, x=_I, y=_I)
 ADAPTER = _struct(adapter=_S)
 CANDIDATE = _struct(barcode=_L, name=_S, sequence=_S, quality=_S, umi=_S, umi_qual=_S)

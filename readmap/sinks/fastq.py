@@ -24,18 +24,20 @@ def fastq_lines(df: DataFrame, quality: str = "sanger") -> DataFrame:
     Columns ``x`` and ``y``, ``umi`` and ``umi_qual`` become tags of the name where present and not
     NULL. The last newline is left to the text writer.
     """
+    return df.select(record_text(df.columns, quality).alias("value"), *[c for c in df.columns if c == "stripe"])
+
+
+def record_text(columns: list[str], quality: str = "sanger") -> Column:
+    """The four lines of a read, from those of the columns that there are."""
     quality_range(quality)
     header = [F.lit("@"), F.coalesce("name", F.lit(""))]
-    if {"x", "y"} <= set(df.columns):
+    if {"x", "y"} <= set(columns):
         header.append(_tag(COORDINATE_TAG, coordinate()))
     for tag, column in ((UMI_TAG, "umi"), (UMI_QUALITY_TAG, "umi_qual")):
-        if column in df.columns:
+        if column in columns:
             header.append(_tag(tag, F.col(column)))
     qualities = F.col("quality") if quality == "sanger" else quality_as("quality", "sanger", quality)
-    return df.select(
-        F.concat(*header, F.lit("\n"), F.col("sequence"), F.lit("\n+\n"), qualities).alias("value"),
-        *[c for c in df.columns if c == "stripe"],
-    )
+    return F.concat(*header, F.lit("\n"), F.col("sequence"), F.lit("\n+\n"), qualities)
 
 
 def _tag(tag: str, value: Column) -> Column:

@@ -7,6 +7,7 @@ from readmap.sources.fastq import FastqDataSource
 from readmap.sources.files import qualified
 from readmap.sources.gzip_blocks import GzipBlocksDataSource
 from readmap.sources.mask import MaskBinDataSource, read_mask
+from readmap.sources.pairs import FastqPairsDataSource
 
 __all__ = [
     "read_adapters",
@@ -19,8 +20,8 @@ __all__ = [
 
 
 def register_sources(spark: SparkSession) -> None:
-    """Make ``fastq``, ``mask_bin`` and ``gzip_blocks`` known to a session."""
-    for source in (FastqDataSource, MaskBinDataSource, GzipBlocksDataSource):
+    """Make ``fastq``, ``fastq_pairs``, ``mask_bin`` and ``gzip_blocks`` known to a session."""
+    for source in (FastqDataSource, FastqPairsDataSource, MaskBinDataSource, GzipBlocksDataSource):
         spark.dataSource.register(source)
 
 

@@ -136,8 +136,7 @@ class BlockWriter(PartWriter):
                 out.write(member)
                 index.append(f"{number}\t{offset}\t{len(member)}\n")
                 offset += len(member)
-        filesystem, path = files.open_path(self.path)
-        with filesystem.open_output_stream(f"{path}/.{name}.idx", compression=None) as out:
+        with self.staging.create(name + ".idx") as out:
             out.write("".join(index).encode())
         return WrittenPart([name + ".idx", name])
 

@@ -1,0 +1,174 @@
+import gzip
+import random
+from collections import Counter
+
+import pytest
+
+from readmap import read_fastq, register_sources
+from readmap.operators import in_step
+from readmap.operators.in_step import pair_files, read_fastq_pairs
+from readmap.operators.pairing import pair_reads
+from readmap.sources import pairs
+from readmap.sources.block_gzip import pack_member
+from readmap.sources.fastq import FastqReader
+from readmap.sources.pairs import FastqPairsReader
+
+
+def text(names, read, newline="\n", seed=0):
+    """Records whose names and qualities look like record starts; lengths differ between the mates."""
+    dice, lines = random.Random(seed + read), []
+    for name in names:
+        n = dice.randrange(1, 6 * read)
+        quality = "".join(dice.choices("@+I!", k=n))
+        lines += [f"@{name}/{read}", "".join(dice.choices("ACGT", k=n)), "+", quality]
+    return newline.join([*lines, ""]).encode()
+
+
+def records(raw, newline="\n"):
+    lines = raw.decode().split(newline)
+    return [(lines[i][1:-2], lines[i + 1], lines[i + 3]) for i in range(0, len(lines) - 1, 4)]
+
+
+def files(name, seed=0):
+    """Names of the records of both files."""
+    dice = random.Random(seed)
+    names = [f"@r{i}+" for i in range(120)]
+    if name == "in order":
+        return names, names
+    if name == "missing":
+        return [n for n in names if dice.random() < 0.9], [n for n in names if dice.random() < 0.8]
+    if name == "first half missing":
+        return names, names[60:]
+    if name == "reordered":
+        return names, dice.sample(names, len(names))
+    if name == "repeated":
+        return [f"r{dice.randrange(30)}" for _ in range(80)], [f"r{dice.randrange(30)}" for _ in range(80)]
+    if name == "repeated apart":
+        return names + names[:20], names + names[:20]
+    if name == "one empty":
+        return names, []
+    return [], []
+
+
+KINDS = ["in order", "missing", "first half missing", "reordered", "repeated", "repeated apart", "one empty", "empty"]
+
+
+def scanned(path1, path2, **options):
+    parser = dict(encoding="sanger", permissive=False, split_bytes=1 << 20, block_split_bytes=200) | options
+    source = FastqPairsReader(FastqReader(path=str(path1), **parser), str(path2), False)
+    return [r for s in source.partitions() for b in source.read(s) for r in b.to_pylist()]
+
+
+def sides(rows):
+    """Records of either file that the rows hold."""
+    one = Counter((r["name"], r["seq1"], r["qual1"]) for r in rows if r["has1"])
+    two = Counter((r["name"], r["seq2"], r["qual2"]) for r in rows if r["has2"])
+    return one, two
+
+
+@pytest.mark.parametrize("kind, newline", [*((kind, "\n") for kind in KINDS), ("missing", "\r\n"), ("missing", "\r")])
+def test_each_record_once_at_every_split_size(tmp_path, kind, newline, monkeypatch):
+    texts = [text(names, k, newline) for k, names in enumerate(files(kind), 1)]
+    for k, raw in enumerate(texts, 1):
+        (tmp_path / f"{k}.fq").write_bytes(raw)
+    want = tuple(Counter(records(raw, newline)) for raw in texts)
+    for size, buffer, patience in [(1, 64, 3), (2, 64, 3), (7, 64, 3), *((s, 97, 5) for s in range(20, 2600, 370)), (10**6, 10**6, 10**6)]:
+        monkeypatch.setattr(pairs, "READ_BYTES", buffer)
+        monkeypatch.setattr(pairs, "PATIENCE", patience)
+        rows = scanned(tmp_path / "1.fq", tmp_path / "2.fq", split_bytes=size)
+        assert sides(rows) == want, size
+        assert len({r["row"] for r in rows}) == len(rows)
+    if kind != "repeated":  # all in one split and within patience: every mate is found
+        assert sum(r["has1"] and r["has2"] for r in rows) == sum((Counter(r[0] for r in want[0].elements()) & Counter(r[0] for r in want[1].elements())).values())
+
+
+@pytest.mark.parametrize("kind", ["in order", "missing", "first half missing"])
+def test_few_records_are_alone_in_large_files(tmp_path, kind, monkeypatch):
+    """Splits find their place by name, whatever the files lack before it."""
+    dice = random.Random(1)
+    names = [f"read{i}" for i in range(20_000)]
+    one, two = names, names
+    if kind == "missing":
+        one, two = ([n for n in names if dice.random() < 0.999] for _ in range(2))
+    if kind == "first half missing":
+        two = names[10_000:]
+    for k, some in ((1, one), (2, two)):
+        (tmp_path / f"{k}.fq").write_bytes(text(some, k))
+    monkeypatch.setattr(pairs, "READ_BYTES", 10_000)
+    monkeypatch.setattr(pairs, "PATIENCE", 2000)
+    rows = scanned(tmp_path / "1.fq", tmp_path / "2.fq", split_bytes=100_000)
+    both = len(set(one) & set(two))
+    paired = sum(r["has1"] and r["has2"] for r in rows)
+    # Without half a file, places in proportion are far off: the rest is left to the join.
+    assert paired == both if kind != "first half missing" else paired < both
+    assert tuple(len(list(c.elements())) for c in sides(rows)) == (len(one), len(two))
+
+
+def write(folder, name, raw, codec, per_block=300):
+    folder.mkdir(exist_ok=True)
+    if codec == "plain":
+        (folder / f"{name}.fq").write_bytes(raw)
+    elif codec == "gzip":
+        (folder / f"{name}.fq.gz").write_bytes(gzip.compress(raw))
+    else:
+        lines, blocks, block = raw.splitlines(keepends=True), [], b""
+        for i in range(0, len(lines), 4):
+            block += b"".join(lines[i : i + 4])
+            if len(block) > per_block:
+                blocks, block = [*blocks, pack_member(block)], b""
+        blocks += [pack_member(block)] if block else []
+        index, at = "", 0
+        for k, member in enumerate(blocks):
+            index += f"{k}\t{at}\t{len(member)}\n"
+            at += len(member)
+        (folder / f"{name}.fq.gz").write_bytes(b"".join(blocks))
+        (folder / f"{name}.fq.gz.idx").write_text(index)
+
+
+@pytest.mark.parametrize("codecs", [("blocks", "blocks"), ("gzip", "gzip"), ("gzip", "plain"), ("blocks", "gzip"), ("plain", "blocks")])
+@pytest.mark.parametrize("kind", ["in order", "missing", "reordered", "one empty"])
+def test_compressed_files(tmp_path, codecs, kind):
+    texts = [text(names, k) for k, names in enumerate(files(kind), 1)]
+    for k, (raw, codec) in enumerate(zip(texts, codecs), 1):
+        write(tmp_path / str(k), "a", raw, codec if raw else "plain", 200 * k)
+    for size in (1, 700, 2000, 10**6):
+        rows = scanned(tmp_path / "1", tmp_path / "2", block_split_bytes=size)
+        assert sides(rows) == tuple(Counter(records(raw)) for raw in texts)
+    if kind == "in order":
+        assert all(r["has1"] and r["has2"] for r in rows)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("most", [0, 1000])
+def test_same_rows_as_the_join(spark, tmp_path, kind, most, monkeypatch):
+    monkeypatch.setattr(in_step, "MOST_SENT", most)
+    for part in (1, 2):
+        for k, names in enumerate(files(kind, part), 1):
+            write(tmp_path / str(k), f"part{part}", text([f"{n}.{part}" if kind != "repeated" else n for n in names], k, seed=part), "plain")
+    paths = [str(tmp_path / str(k)) for k in (1, 2)]
+    want = Counter(map(tuple, pair_reads(*(read_fastq(spark, p) for p in paths)).collect()))
+    for size in (150, 10**6):
+        assert Counter(map(tuple, pair_files(spark, *paths, maxSplitBytes=size).collect())) == want, size
+    assert kind in ("one empty", "empty") or want
+
+
+def test_no_shuffle_for_files_in_order(spark, tmp_path):
+    names = [f"r{i}" for i in range(5000)]
+    for k in (1, 2):
+        (tmp_path / f"{k}.fq").write_bytes(text(names, k))
+    pairs = pair_files(spark, str(tmp_path / "1.fq"), str(tmp_path / "2.fq"), maxSplitBytes=20_000)
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == 5000 and pairs.rdd.getNumPartitions() > 2
+
+
+def test_what_fails(spark, tmp_path):
+    register_sources(spark)
+    (tmp_path / "1").mkdir()
+    write(tmp_path / "1", "a", text(["r"], 1), "plain")
+    write(tmp_path / "1", "b", text(["r"], 1), "plain")
+    write(tmp_path / "2", "a", text(["r"], 2), "plain")
+    with pytest.raises(Exception, match="2 files at .*, but 1"):
+        read_fastq_pairs(spark, str(tmp_path / "1"), str(tmp_path / "2")).collect()
+    (tmp_path / "2" / "b.fq").write_bytes(b"@r\nAC\nII\n@r\n")
+    with pytest.raises(Exception, match="missing separator"):
+        read_fastq_pairs(spark, str(tmp_path / "1"), str(tmp_path / "2")).collect()
