@@ -191,6 +191,7 @@ def _first_bad(quality: str, low: str, high: str) -> str:
 
 ORACLES = {
     "map_barcodes": _with(R, M, P, then=TAGGED.format(mask="m")),
+    "map_barcodes_stored_mask": _with(R, M, P, then=TAGGED.format(mask="m")),
     "map_barcodes_unique_mask": _with(R, M, UNIQUE, P, then=TAGGED.format(mask="unique_m")),
     "map_barcodes_one_mismatch": _with(
         R,
@@ -272,6 +273,7 @@ ORACLES = {
     "fastq_scan": _with(R, then=_reads(1)),
     "fastq_gzip_scan": _with(R, then=_reads(2)),
     "fastq_block_gzip_scan": _with(R, then=_reads(2)),
+    "fastq_block_gzip_scan_unindexed": _with(R, then=_reads(2)),
     "gzip_block_index": "select true as contiguous, true as covered",
     "gzip_block_payload": _with(
         R,

@@ -3,6 +3,8 @@
 Queries on files first write them with Spark, from the same tables, to a folder all executors share.
 """
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from readmap import (
     read_gzip_blocks,
     read_mask,
     register_sources,
+    store_mask,
     synth,
 )
 from readmap.functions import (
@@ -35,6 +38,7 @@ from readmap.operators.pairing import flag_adapters, mate1, pair_reads
 from readmap.operators.pairing import windows as read_windows
 from readmap.plans.one_pass import place_files
 from readmap.scratch import shared_folder
+from readmap.sources import files
 from readmap.sinks import fastq_lines, qseq_lines, write_striped, write_tagged_fastq
 
 STRIPES, BUCKETS, FILES = 8, 16, 32
@@ -53,6 +57,13 @@ def mapped(spark: SparkSession, sf: str) -> DataFrame:
     return _mapping(spark, sf).tagged
 
 
+def mapped_stored_mask(spark: SparkSession, sf: str) -> DataFrame:
+    """Against a mask that is stored by barcode and is not moved."""
+    reads1, reads2 = synth.mates(spark, sf)
+    mask = store_mask(synth.mask(spark, sf), shared_folder(spark), BUCKETS)
+    return map_barcodes(mask, reads1, reads2, adapters=synth.ADAPTERS, mode="DROP").tagged
+
+
 def mapped_unique(spark: SparkSession, sf: str) -> DataFrame:
     return _mapping(spark, sf, unique=True).tagged
 
@@ -279,6 +290,23 @@ def fastq_block_gzip_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_fastq(spark, _block_gzip(spark, sf))
 
 
+def fastq_block_gzip_scan_unindexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks found in files whose index is not there: the copies have none."""
+    path = _block_gzip(spark, sf)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    copies = shared_folder(spark)
+    found.foreachPartition(lambda rows: _copied(rows, copies))
+    return read_fastq(spark, copies, blockSplitBytes=10_000)
+
+
+def _copied(rows, folder: str) -> None:
+    filesystem, path = files.open_path(folder)
+    filesystem.create_dir(path, recursive=True)
+    for row in rows:
+        with filesystem.open_output_stream(f"{path}/{zlib.crc32(row.content):08x}.gz", compression=None) as out:
+            out.write(row.content)
+
+
 def gzip_block_index(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the blocks of each file follow each other, and whether they cover it."""
     path = _block_gzip(spark, sf)
@@ -449,6 +477,7 @@ def barcode_bucket_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "map_barcodes": mapped,
+    "map_barcodes_stored_mask": mapped_stored_mask,
     "map_barcodes_unique_mask": mapped_unique,
     "map_barcodes_one_mismatch": mapped_with_mismatch,
     "map_barcodes_unique_one_mismatch": mapped_unique_with_mismatch,
@@ -479,6 +508,7 @@ QUERIES = {
     "fastq_scan": fastq_scan,
     "fastq_gzip_scan": fastq_gzip_scan,
     "fastq_block_gzip_scan": fastq_block_gzip_scan,
+    "fastq_block_gzip_scan_unindexed": fastq_block_gzip_scan_unindexed,
     "gzip_block_index": gzip_block_index,
     "gzip_block_payload": gzip_block_payload,
     "fastq_validate": fastq_validate,

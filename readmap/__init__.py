@@ -17,6 +17,8 @@ from readmap.sources import (  # noqa: E402
     read_gzip_blocks,
     read_mask,
     register_sources,
+    store_mask,
+    stored_mask,
 )
 
 __all__ = [
@@ -32,4 +34,6 @@ __all__ = [
     "read_gzip_blocks",
     "read_mask",
     "register_sources",
+    "store_mask",
+    "stored_mask",
 ]

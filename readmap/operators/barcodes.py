@@ -1,10 +1,16 @@
 """Joins and aggregates on the barcode key."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readmap.functions import neighbour_masks
 from readmap.operators.salting import every_salt, salt, salted_join
+from readmap.scratch import shared_folder
+
+#: Pairs of a group that are compared without more ado, buckets that groups are counted in, and groups that are broadcast.
+HOT_PAIRS, BUCKETS, MOST_SENT = 10_000, 1 << 16, 1_000_000
 
 
 def unique_mask(mask: DataFrame) -> DataFrame:
@@ -59,13 +65,15 @@ def one_mismatch_map(
     What is unmapped, and how many neighbours it has, is decided by the whole mask. Coordinates come
     from ``positions`` where given, a part of the mask: a barcode whose neighbour that lacks has none.
 
-    Two barcodes one base apart have one half in common: both go under their two halves, and those
-    that meet are compared. Work grows with the barcodes, and with what shares a half, never with pairs.
+    Two barcodes one base apart agree outside one of their halves: both go under what the two halves leave, and
+    those that meet are compared. Where too many would meet, the half is cut again (``one_base_apart``), so work grows with
+    the barcodes, never with pairs. With ``masks="base"``, distinct barcodes of both sides are written to the shared folder, and
+    their groups are counted, when this is called.
     """
     keys = _keys(mask)
     unmapped = captured.select("barcode").distinct().join(keys, "barcode", "left_anti")
     if masks == "base":
-        hits = _one_base_apart(unmapped, keys, length, start)
+        hits = one_base_apart(_written(unmapped), _written(keys), length, start)
     else:
         steps = ", ".join(f"bigint('{m}')" for m in neighbour_masks(length, masks, start))
         neighbours = unmapped.select("barcode", F.explode(F.expr(f"array({steps})")).alias("_step")).select(
@@ -82,20 +90,81 @@ def one_mismatch_map(
     return placed.select("barcode", "mask_barcode", "x", "y")
 
 
-def _one_base_apart(barcodes: DataFrame, keys: DataFrame, length: int, start: int) -> DataFrame:
+def one_base_apart(barcodes: DataFrame, keys: DataFrame, length: int, start: int = 0) -> DataFrame:
     """Pairs ``barcode, mask_barcode`` that differ in exactly one base of the window."""
-    bases = [3 << (2 * ((start + i) % 32)) for i in range(length)]
-    halves = [_signed(sum(set(bases[: length // 2]))), _signed(sum(set(bases[length // 2 :])))]
-
-    def under_halves(frame: DataFrame, name: str) -> DataFrame:
-        parts = [F.struct(F.lit(n).alias("part"), F.col("barcode").bitwiseAND(F.lit(h)).alias("half")) for n, h in enumerate(halves)]
-        return frame.select(F.col("barcode").alias(name), F.inline(F.array(*parts)))
-
-    met = under_halves(barcodes, "barcode").join(under_halves(keys, "mask_barcode"), ["part", "half"])
     differ = F.col("barcode").bitwiseXOR(F.col("mask_barcode"))
     base = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
-    outside = differ.bitwiseAND(F.lit(_signed(~(halves[0] | halves[1]))))
-    return met.filter((F.bit_count(base) == 1) & (outside == 0)).select("barcode", "mask_barcode")
+    return meeting(barcodes, keys, length, start).filter(F.bit_count(base) == 1)
+
+
+def meeting(barcodes: DataFrame, keys: DataFrame, length: int, start: int = 0) -> DataFrame:
+    """Pairs of distinct barcodes to compare: those that agree outside a segment of the window.
+
+    The first segments are the two halves. A group, that is one segment and what it leaves of a barcode, in which more than
+    ``HOT_PAIRS`` would meet is not joined: its barcodes go under the two parts of the segment, in one of which the one
+    base lies. Segments of one base leave groups of four barcodes at most, so this ends, and no pair of one base meets twice.
+    """
+    bases = [3 << (2 * ((start + i) % 32)) for i in range(length)]
+    segments = {2: range(length // 2), 3: range(length // 2, length)}
+    left = _under(barcodes.select(F.col("barcode").alias("_b")), segments, bases)
+    right = _under(keys.select(F.col("barcode").alias("_b")), segments, bases)
+    found = []
+    while True:
+        hot = _hot_groups(left, right) if any(len(s) > 1 for s in segments.values()) else None
+        cold = left if hot is None else left.join(hot, ["_segment", "_rest"], "left_anti")
+        met = cold.withColumnRenamed("_b", "barcode").join(right.withColumnRenamed("_b", "mask_barcode"), ["_segment", "_rest"])
+        found.append(met.select("barcode", "mask_barcode"))
+        if hot is None:
+            return reduce(DataFrame.unionByName, found)
+        # As in a heap, the parts of segment n are 2 n and 2 n + 1.
+        halves = {n: (s[: len(s) // 2], s[len(s) // 2 :]) for n, s in segments.items()}
+        segments = {2 * n + k: part for n, parts in halves.items() for k, part in enumerate(parts) if part}
+        left, right = (_written(_under(side.join(hot, ["_segment", "_rest"], "left_semi"), segments, bases)) for side in (left, right))
+
+
+def _under(frame: DataFrame, segments: dict[int, range], bases: list[int]) -> DataFrame:
+    """Each barcode under the segments, or under the parts of the segment that it is under."""
+    inside = "_segment" in frame.columns
+    rests = []
+    for n, segment in segments.items():
+        rest = F.col("_b").bitwiseAND(F.lit(_signed(~sum({bases[i] for i in segment}))))
+        entry = F.struct(F.lit(n).alias("_segment"), rest.alias("_rest"))
+        rests.append(F.when(F.col("_segment") == n // 2, entry) if inside else entry)
+    return frame.select("_b", F.inline(F.array_compact(F.array(*rests))))
+
+
+def _hot_groups(left: DataFrame, right: DataFrame) -> DataFrame | None:
+    """Groups in which more than ``HOT_PAIRS`` would meet, marked for broadcast if they are few; None if there are none.
+
+    Groups are counted by hash first, into so few buckets that counts fold before they are shuffled. Buckets that
+    stand out are counted by group. What is missed here is joined as it is, with the same result.
+    """
+    bucket = F.xxhash64("_segment", "_rest").bitwiseAND(F.lit(BUCKETS - 1))
+
+    def counts(frame: DataFrame, by: list[str], name: str) -> DataFrame:
+        return frame.groupBy(*by).agg(F.count("*").alias(name))
+
+    def pairs(one: DataFrame, two: DataFrame, by: list[str]) -> DataFrame:
+        return counts(one, by, "n").join(counts(two, by, "m"), by).withColumn("pairs", F.col("n").cast("double") * F.col("m"))
+
+    left, right = left.withColumn("_bucket", bucket), right.withColumn("_bucket", bucket)
+    buckets = _written(pairs(left, right, ["_bucket"]))
+    usual = buckets.agg((F.sum("n") / BUCKETS) * (F.sum("m") / BUCKETS)).first()[0] or 0
+    hot = buckets.filter(F.col("pairs") > HOT_PAIRS + 4 * usual).select("_bucket")
+    if hot.isEmpty():
+        return None
+    hot = F.broadcast(hot)  # BUCKETS at most
+    some = (frame.join(hot, "_bucket", "left_semi") for frame in (left, right))
+    groups = _written(pairs(*some, ["_segment", "_rest"]).filter(F.col("pairs") > HOT_PAIRS).select("_segment", "_rest"))
+    n = groups.count()
+    return None if not n else F.broadcast(groups) if n <= MOST_SENT else groups
+
+
+def _written(frame: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read again."""
+    path = shared_folder(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def _signed(bits: int) -> int:

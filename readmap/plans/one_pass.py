@@ -98,14 +98,15 @@ def _any_file(filesystem, folder: str) -> bool:
 
 
 def _with_homes(lookup: DataFrame) -> DataFrame:
-    """Positions by barcode, and for each barcode one row without position.
+    """Positions by barcode, of which one row for each barcode has ``first``, so that a left join counts each pair once.
 
-    A left join with it gives each pair one row to count, placed or not, and one more for each of its positions.
+    A stored mask has that column. Otherwise it is a row of its own, without position.
     """
+    if "first" in lookup.columns:
+        return lookup.withColumn("_at", F.lit(True))
     homes = lookup.select("barcode").distinct()
-    homes = homes.selectExpr("barcode", "false AS _at", "cast(NULL AS int) AS x", "cast(NULL AS int) AS y")
-    rows = lookup.select("barcode", F.lit(True).alias("_at"), "x", "y").unionByName(homes)
-    return rows.withColumn("_usable", F.lit(True))
+    homes = homes.selectExpr("barcode", "true AS first", "false AS _at", "cast(NULL AS int) AS x", "cast(NULL AS int) AS y")
+    return lookup.select("barcode", F.lit(False).alias("first"), F.lit(True).alias("_at"), "x", "y").unionByName(homes)
 
 
 def _counted(rows: DataFrame, table: DataFrame, adapters: list[str], layout: ReadLayout, quality: str) -> DataFrame:
@@ -142,18 +143,18 @@ def _counted(rows: DataFrame, table: DataFrame, adapters: list[str], layout: Rea
     # Only what may be placed takes its sequence along; the others are spread by name, not gathered under one barcode.
     reduced = flagged.select(
         "name",
-        F.when(usable, F.col("_barcode")).otherwise(name_key()).alias("barcode"),
+        F.when(usable, F.col("_barcode")).otherwise(name_key()).alias("_barcode"),
         "_usable",
         *[F.when(usable, F.col(old)).alias(new) for old, new in (("seq2", "sequence"), ("qual2", "quality"), ("_umi", "umi"), ("_umi_qual", "umi_qual"))],
         F.when(lone, F.struct(*LONE)).alias("lone"),
         F.when(F.col("row").isNotNull(), name_key()).alias("key"),
         *[column.alias(f"_n_{name}") for name, column in counts.items()],
     )
-    joined = reduced.join(table, ["barcode", "_usable"], "left")
-    placed = F.coalesce("_at", F.lit(False))
+    joined = reduced.join(table, (F.col("_barcode") == F.col("barcode")) & F.col("_usable"), "left")
+    placed, head = F.coalesce("_at", F.lit(False)), F.coalesce("first", F.lit(True))
     return joined.select(
         F.when(placed, record_text(["x", "y", "umi", "umi_qual"], quality)).alias("value"),
-        F.when(~placed, F.col("key")).alias("key"),
-        F.when(~placed, F.col("lone")).alias("lone"),
-        *[(placed.cast("long") if n == "mapped" else F.when(~placed, F.col(f"_n_{n}"))).alias(n) for n in COUNTERS],
+        F.when(head, F.col("key")).alias("key"),
+        F.when(head, F.col("lone")).alias("lone"),
+        *[(placed.cast("long") if n == "mapped" else F.when(head, F.col(f"_n_{n}"))).alias(n) for n in COUNTERS],
     )

@@ -8,6 +8,7 @@ from readmap.sources.files import qualified
 from readmap.sources.gzip_blocks import GzipBlocksDataSource
 from readmap.sources.mask import MaskBinDataSource, read_mask
 from readmap.sources.pairs import FastqPairsDataSource
+from readmap.sources.stored_mask import store_mask, stored_mask
 
 __all__ = [
     "read_adapters",
@@ -16,6 +17,8 @@ __all__ = [
     "read_gzip_blocks",
     "read_mask",
     "register_sources",
+    "store_mask",
+    "stored_mask",
 ]
 
 

@@ -57,6 +57,53 @@ def load_index(uri: str, size: int) -> np.ndarray:
     return index
 
 
+def member_size(head: bytes) -> int:
+    """Size of the member that begins with these bytes; raises if they are no head of a member."""
+    size = int.from_bytes(head[16:20], "little") if len(head) >= IG_HEADER_BYTES and is_block_gzip(head) else 0
+    if size < IG_HEADER_BYTES + 8:
+        raise ValueError("not an indexed gzip block")
+    return size
+
+
+def next_member(handle, offset: int, size: int) -> int:
+    """First member start at or after an offset of a file, ``size`` at its end.
+
+    Heads are looked for by their bytes. Since compressed data may look like one, a head counts if the size it
+    states leads to another head, or to the end of the file.
+    """
+    window = 1 << 20
+    while offset < size:
+        raw = handle.read_at(min(window, size - offset), offset)
+        at = raw.find(_MEMBER_HEAD[:3])
+        while at >= 0:
+            if _is_member(handle, offset + at, size):
+                return offset + at
+            at = raw.find(_MEMBER_HEAD[:3], at + 1)
+        offset += max(1, len(raw) - 2)  # the last two bytes may begin a head
+    return size
+
+
+def _is_member(handle, offset: int, size: int) -> bool:
+    for _ in range(2):
+        try:
+            offset += member_size(handle.read_at(min(IG_HEADER_BYTES, size - offset), offset))
+        except ValueError:
+            return False
+        if offset >= size:
+            break
+    return offset <= size
+
+
+def find_groups(handle, size: int, max_bytes: int) -> list[BlockGroup]:
+    """The groups that ``group_blocks`` makes of a file's index, without the index: one search for each group."""
+    groups, start = [], 0
+    while start < size:
+        end = next_member(handle, start + max_bytes, size) if start + max_bytes < size else size
+        groups.append(BlockGroup(len(groups), start, end - start))
+        start = end
+    return groups
+
+
 def group_blocks(index: np.ndarray, max_bytes: int | None = None, max_blocks: int | None = None):
     """Neighbouring blocks together: a group closes once it has ``max_bytes``, or ``max_blocks``."""
     ends = np.cumsum(index[:, 1])

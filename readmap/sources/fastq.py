@@ -5,7 +5,6 @@ first byte, and ends where the next range begins, so each record is read once an
 """
 
 import bz2
-import logging
 import re
 import zlib
 from typing import NamedTuple
@@ -19,19 +18,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from readmap import schemas
 from readmap.functions.quality import quality_range
 from readmap.sources import files
-from readmap.sources.block_gzip import IG_HEADER_BYTES, group_blocks, is_block_gzip, load_index
-
-LOG = logging.getLogger(__name__)
+from readmap.sources.block_gzip import IG_HEADER_BYTES, find_groups, group_blocks, is_block_gzip, load_index, member_size
 
 # Fixed value: compressed bytes after which a group of indexed blocks is closed.
 BLOCK_SPLIT_BYTES = 200_000_000
 READ_BYTES = 8 * files.MEBIBYTE
 COMPRESSED_READ_BYTES = files.MEBIBYTE
+#: Bytes of skipped text after which a row for it is closed.
+SKIPPED_BYTES = READ_BYTES
 GZIP_MAGIC = b"\x1f\x8b"
 NEWLINE, RETURN, AT, PLUS, SLASH = 10, 13, 64, 43, 47
 
 NO_SEPARATOR = "missing separator"
 TRUNCATED = "truncated record"
+CONTINUED = "skipped text, continued"
 BAD_QUALITY = "quality out of range"
 
 ID_LINE = re.compile(rb"[^\r\n]*")
@@ -105,8 +105,10 @@ class FastqReader(DataSourceReader):
         if codec == "gzip" and is_block_gzip(head):
             if files.exists(file.uri + ".idx"):
                 groups = group_blocks(load_index(file.uri, file.size), max_bytes=self.block_split_bytes)
-                return [FastqSplit(file.uri, g.start, g.start + g.length, file.size, "blocks") for g in groups]
-            LOG.error("no index %s.idx: the file is read by one task", file.uri)
+            else:
+                with files.open_file(file.uri) as handle:
+                    groups = find_groups(handle, file.size, self.block_split_bytes)
+            return [FastqSplit(file.uri, g.start, g.start + g.length, file.size, "blocks") for g in groups]
         return [FastqSplit(file.uri, 0, file.size, file.size, codec)]
 
     def read(self, partition: InputPartition):
@@ -158,8 +160,10 @@ def _decompressed(handle, split: FastqSplit):
         "bz2": bz2.BZ2Decompressor,
     }[split.codec]
     member, rest, padding = None, b"", False
+    read, expected = split.start, 0  # where the file is read to, and where the member should end
     for piece in _raw(handle, split.start, split.end, COMPRESSED_READ_BYTES):
         rest += piece
+        read += len(piece)
         while rest:
             if member is None:
                 padding = split.codec == "gzip" and (padding or rest[0] == 0)
@@ -173,6 +177,7 @@ def _decompressed(handle, split: FastqSplit):
                         break
                     if not is_block_gzip(rest):
                         raise ValueError(f"not an indexed gzip block in {split.uri}")
+                    expected = read - len(rest) + member_size(rest)
                 elif split.codec == "gzip" and not rest.startswith(GZIP_MAGIC[: len(rest)]):
                     raise ValueError(f"bytes between or after gzip members in {split.uri}")
                 member = make()
@@ -180,6 +185,8 @@ def _decompressed(handle, split: FastqSplit):
             rest = b""
             if member.eof:
                 rest, member = member.unused_data, None
+                if expected and read - len(rest) != expected:
+                    raise ValueError(f"a gzip block in {split.uri} ends at {read - len(rest)}, not at {expected}")
     if rest or member is not None:
         raise EOFError(f"unexpected end of compressed data in {split.uri}")
 
@@ -246,6 +253,7 @@ class RecordParser:
         self.uri = uri
         self.offset = offset  # of the first byte not parsed yet
         self.skipping = False  # past a broken record, looking for the next record start
+        self.skipped: list | None = None  # reason, offset, name and text of what has been skipped so far
         self.low, self.high = quality_range(options.encoding)
 
     def batches(self, pieces):
@@ -254,6 +262,7 @@ class RecordParser:
             rest = yield from self._parse(rest + piece, at_end=False)
         if rest:
             rest = yield from self._parse(rest, at_end=True)
+        yield from self._skipped_row()
         if rest:
             yield from self._corrupt(TRUNCATED, rest, [0], [len(rest)])
 
@@ -271,13 +280,16 @@ class RecordParser:
         firsts = data[starts[starts < len(data)]]  # of the last line too, though it may go on
         anchors = np.flatnonzero((firsts[:-2] == AT) & (firsts[2:] == PLUS))
         runs, broken, after, line = [], [], [], 0  # after: line that ends the skipped text of a broken record
+        carried, continued = self.skipping, 0  # lines at the start that a record of an earlier buffer has skipped
         while True:
             if self.skipping:
                 k = int(np.searchsorted(anchors, line))
                 if k == len(anchors):  # the last two lines may still turn out to be a record's first
                     line = len(starts) - 1 if at_end else max(line, len(firsts) - 2)
+                    continued = line if carried else continued
                     break
                 line, self.skipping = int(anchors[k]), False
+                continued, carried = line if carried else continued, False
                 after += [line] * (len(broken) - len(after))
             count = (len(ends) - line) // 4
             wrong = firsts[line + 2 : line + 4 * count : 4] != PLUS
@@ -290,10 +302,20 @@ class RecordParser:
             self.skipping = True
         if broken and not self.options.permissive:
             yield from self._corrupt(NO_SEPARATOR, raw, starts[broken[:1]], starts[broken[:1]])
+        if self.skipped:
+            self.skipped[3] += raw[: int(starts[continued])]
+            if not carried:
+                yield from self._skipped_row()
+            elif len(self.skipped[3]) >= SKIPPED_BYTES:
+                yield from self._skipped_row()
+                self.skipped = [CONTINUED, self.offset + int(starts[continued]), None, b""]
         yield from self._records(raw, data, starts, ends, np.concatenate(runs) if runs else ())
         if broken:
-            after += [line] * (len(broken) - len(after))
-            yield from self._corrupt(NO_SEPARATOR, raw, starts[broken], starts[after])
+            if len(after) < len(broken):  # what the last one skips may go on in the next buffer
+                at = int(starts[broken.pop()])
+                self.skipped = [NO_SEPARATOR, self.offset + at, self._name(raw, at), raw[at : int(starts[line])]]
+            if broken:
+                yield from self._corrupt(NO_SEPARATOR, raw, starts[broken], starts[after])
         done = int(starts[line])
         self.offset += done
         return raw[done:]
@@ -347,17 +369,29 @@ class RecordParser:
 
     def _corrupt(self, reason: str, raw: bytes, positions, ends):
         """Rows for the broken records between these positions of a buffer."""
-        names = [ID_LINE.match(raw, int(p) + 1)[0].decode("utf-8", "replace") for p in positions]
+        names = [self._name(raw, int(p)) for p in positions]
         if not self.options.permissive:
             self._fail(reason, self.offset + int(positions[0]), names[0])
         rows = [
-            dict.fromkeys(self._names())
-            | {"name": name, "_corrupt_reason": reason, "_file": self.uri, "_offset": self.offset + int(position)}
-            | {"_corrupt_record": raw[int(position) : int(end)].decode("utf-8", "replace")}
+            self._broken_row(reason, self.offset + int(position), name, raw[int(position) : int(end)])
             for name, position, end in zip(names, positions, ends)
         ]
         yield pa.RecordBatch.from_pylist(rows, schema=CORRUPT_ROW)
 
+    def _skipped_row(self):
+        """What has been skipped so far, as a row; long stretches give several, each with its own offset."""
+        if self.skipped and self.skipped[3]:
+            yield pa.RecordBatch.from_pylist([self._broken_row(*self.skipped)], schema=CORRUPT_ROW)
+        self.skipped = None
+
+    def _broken_row(self, reason: str, offset: int, name: str | None, text: bytes) -> dict:
+        found = {"name": name, "_corrupt_reason": reason, "_file": self.uri, "_offset": offset}
+        return dict.fromkeys(self._names()) | found | {"_corrupt_record": text.decode("utf-8", "replace")}
+
+    @staticmethod
+    def _name(raw: bytes, at: int) -> str:
+        return ID_LINE.match(raw, at + 1)[0].decode("utf-8", "replace")
+
     def _fail(self, reason: str, offset: int, name):
         raise ValueError(f"{reason} in fastq record at {self.uri}:{offset}, id: {name}")
 

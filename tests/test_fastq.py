@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from readmap import read_block_index, read_fastq, read_gzip_blocks, register_sources
 from readmap.sources import fastq, files
-from readmap.sources.block_gzip import group_blocks, is_block_gzip, load_index, pack_member
+from readmap.sources.block_gzip import find_groups, group_blocks, is_block_gzip, load_index, next_member, pack_member
 from readmap.sources.fastq import FastqReader
 
 
@@ -186,11 +186,59 @@ def test_block_gzip(tmp_path, monkeypatch):
     assert 1 < len(reader(path, block_split_bytes=300).partitions()) < 25
 
 
-def test_block_gzip_without_index_is_one_split(tmp_path):
-    made, path = records(100), tmp_path / "r.fq.gz"
+def test_block_gzip_without_index_has_the_same_splits(tmp_path):
+    made, path, other = records(100), tmp_path / "r.fq.gz", tmp_path / "s.fq.gz"
+    block_file(path, made)
+    block_file(other, made, index=False)
+    for group in (1, 100, 200, 301, 1000, 1 << 20):
+        splits, found = ([s.value[1:] for s in reader(f, block_split_bytes=group).partitions()] for f in (path, other))
+        assert found == splits
+        assert rows(other, block_split_bytes=group) == made
+
+
+def test_heads_inside_blocks_are_no_heads(tmp_path):
+    """Text that holds the bytes of a head, and is stored as it is."""
+    head = pack_member(b"")[:20]
+    members = [pack_member(b"x" * 30 + head * 3 + b"y" * 30, level=0) for _ in range(20)]
+    path = tmp_path / "r.fq.gz"
+    path.write_bytes(b"".join(members))
+    starts, size = [sum(map(len, members[:k])) for k in range(20)], path.stat().st_size
+    with files.open_file(str(path)) as handle:
+        for offset in range(size + 1):
+            assert next_member(handle, offset, size) == min((s for s in starts if s >= offset), default=size)
+
+
+def test_damaged_block_sizes_raise(tmp_path):
+    made, path = records(40), tmp_path / "r.fq.gz"
     block_file(path, made, index=False)
-    assert len(reader(path).partitions()) == 1
-    assert rows(path) == made
+    raw = path.read_bytes()
+    with files.open_file(str(path)) as handle:
+        starts = [g.start for g in find_groups(handle, len(raw), 1)]
+    assert len(starts) == 10
+    for at in (starts[0], starts[4], starts[-1]):
+        for change in (-1, 1, 9):
+            size = int.from_bytes(raw[at + 16 : at + 20], "little") + change
+            path.write_bytes(raw[: at + 16] + size.to_bytes(4, "little") + raw[at + 20 :])
+            for group in (1, 300, 1 << 20):
+                with pytest.raises((ValueError, EOFError)):
+                    rows(path, block_split_bytes=group)
+
+
+def test_skipped_text_is_whole_at_any_buffer_size(tmp_path, monkeypatch):
+    """Good and broken rows together have every byte of the file."""
+    good = [f"@r{i}\nACGT\n+\nIIII\n" for i in range(6)]
+    junk = "".join(f"no record, line {i}\n" for i in range(60))
+    for parts in ([junk, *good], [good[0], junk, *good[1:]], [*good, junk], [good[0], junk, good[1], "@broken\nAC\nII\n", junk, good[2]]):
+        raw = "".join(parts)
+        (tmp_path / "r.fq").write_text(raw)
+        for size in (16, 40, 100, 333, 1 << 20):
+            for name in ("READ_BYTES", "SKIPPED_BYTES"):
+                monkeypatch.setattr(f"readmap.sources.fastq.{name}", size)
+            for split in (50, 1 << 20):
+                found = rows(tmp_path / "r.fq", permissive=True, split_bytes=split)
+                texts = [(r[6], r[7] if r[4] else f"@{r[0]}\n{r[2]}\n+\n{r[3]}\n") for r in found]
+                assert "".join(t for _, t in sorted(texts)) == raw, (size, split)
+                assert all(len(t) <= 2 * size + 200 for _, t in texts)
 
 
 def test_groups_close_at_their_limit(tmp_path):
