@@ -26,8 +26,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from readmap.llm.common import map_texts
 
-#: Pages that a model is trained on, at most: those with the smallest hash of their id and html, cut for
-#: training (not for extraction) to so many characters.
+#: Pages that a model is trained on, at most: those with the smallest hash of their id and html, among the pages of so
+#: many characters at most.
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 100_000
 TREES, LEVELS, BINS, RATE = 60, 4, 32, 0.3
@@ -51,10 +51,13 @@ KINDS = [
 KIND = {tag: number for number, tags in enumerate(KINDS) for tag in tags}
 APART, CONTENT = KINDS[5] | KINDS[6], {"article", "main"}
 
+# The rest of a tag. A quote begins a value only after "=", and ends it only where the tag or white space goes on:
+# otherwise it is missing its partner, and the tag ends at the next ">".
+_REST = r"(?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')(?=[\s/>]|\Z)|=)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"|<(script|style|title|textarea)\b{_REST}(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_REST})(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|([^<]+|<)",
     re.S | re.I,
@@ -521,9 +524,9 @@ def train(pages: list[str], variants: int = 6, seed: int = 1) -> Model:
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Model:
     """Train on at most ``sample_pages`` pages, which reach the driver."""
     order = F.xxhash64("page_id", "html")
-    pages = pages.select("page_id", "html").filter("html <> ''")
+    pages = pages.select("page_id", "html").filter((F.col("html") != "") & (F.length("html") <= SAMPLE_CHARS))
     chosen = [row[0] for row in pages.select(order.alias("order")).distinct().orderBy("order").limit(sample_pages).collect()]
-    found = pages.filter(order.isin(chosen)).select(order.alias("order"), F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    found = pages.filter(order.isin(chosen)).select(order.alias("order"), "html")
     rows = found.dropDuplicates(["order"]).orderBy("order").collect()
     return train([row.html for row in rows])
 

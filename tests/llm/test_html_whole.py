@@ -16,6 +16,14 @@ SEEN = [
     ("<head><template><p>inert</p></template><title>t</title><div>one</div>", ["one"]),
     ("<p>one<head><p>two", ["one", "two"]),
     ("<p>one<textarea>typed</textarea><script>x</script> two<style>y", ["one two"]),
+    ("<p title=it's>Hello world.</p><p>Don't stop</p><p>b</p>", ["Hello world.", "Don't stop", "b"]),
+    ('<p class="x>one</p><p>two</p>', ["one", "two"]),
+    ("<a href='x>one</a> two", ["one two"]),
+    ('<p class="x>one</p><a href="y">two</a>', ["one", "two"]),
+    ("<p title='a > b' id=c>one</p><p data-x=\"<b>\">two", ["one", "two"]),
+    ('<img alt="5" 6">it\'s</img><p>two', ["it's", "two"]),
+    ("<script src='x>1</script><p>one</p>", ["one"]),
+    ("<p a=>one</p><p b= >two</p><p c=\"\">three", ["one", "two", "three"]),
     ("<p>one<iframe src=x><p>two</p><video><p>three</p><template><p>four", ["one", "two", "three", "four"]),
 ]
 
