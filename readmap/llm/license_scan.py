@@ -7,6 +7,9 @@ must show one of its k + 1 first words, its prefix; only blocks that have a word
 Their template words, in the same order, have a prefix as well: pairs that share a prefix word, that are long
 enough, and whose places in both orders leave room for the words that are needed, are compared word by word.
 
+Notices of different licenses may differ in a word or two. Where the text of one is within the threshold of the other,
+the words that only the other has decide: a block must have them for the other, and must not for the one.
+
 Templates that are phrases need all their words, and count where these stand one after another.
 """
 
@@ -19,6 +22,7 @@ STRIDE, WIDTH = 64, 128
 #: Share of a notice's distinct words that a block must have.
 CONTAINMENT = 0.8
 # Fixed value: what is a word, after A-Z have become lower case.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases, whose places are counted, and their labels.
@@ -32,11 +36,14 @@ PHRASES = [
 NOTICES = [
     ("this work is licensed under the gnu general public license version 3", "gpl"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
+    ("this work is licensed under the gnu lesser general public license version 3", "lgpl"),
     ("you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl"),
     ("licensed under the apache license version 2 0", "apache"),
     ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache"),
     ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
     ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("licensed under cc by 4 0", "cc-by"),
+    ("licensed under cc by sa 4 0", "cc-by-sa"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
@@ -51,7 +58,19 @@ def needed(size: int, share: float) -> int:
 
 def words(text: str = "text") -> Column:
     """The words of a whole text; NULL has none."""
-    return F.expr(f"regexp_extract_all(lower(coalesce({text}, '')), r'{WORD}', 0)")
+    return F.expr(f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}'), r'{WORD}', 0)")
+
+
+def deciding(notices: list[tuple[str, str]], containment: float) -> list[tuple[list[str], list[str]]]:
+    """For each notice, the words that a block must have, and those that it must not have, besides the threshold."""
+    sets = [(set(text.split()), label) for text, label in notices]
+    must, never = [set() for _ in sets], [set() for _ in sets]
+    for one, (words_one, label_one) in enumerate(sets):
+        for other, (words_other, label_other) in enumerate(sets):
+            if label_one != label_other and len(words_one & words_other) >= needed(len(words_other), containment):
+                must[other] |= words_other - words_one
+                never[one] |= words_other - words_one
+    return [(sorted(m), sorted(n)) for m, n in zip(must, never)]
 
 
 def word_counts(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -83,6 +102,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, notices=NOTICES, containment
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
 
+    extra = [([], [])] * len(phrases) + deciding(notices, containment)
     rows, prefixes = [], set()
     for number, (tokens, label, share) in enumerate(templates):
         ranks = sorted({rank[w] for w in tokens})
@@ -90,9 +110,10 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, notices=NOTICES, containment
         prefix = ranks[: len(ranks) - need + 1]
         prefixes.update(order[r] for r in prefix)
         phrase = tokens if number < len(phrases) else None
-        rows.extend((r, at, number, ranks, need, phrase, label) for at, r in enumerate(prefix))
+        must, never = ([rank[w] for w in some] for some in extra[number])
+        rows.extend((r, at, number, ranks, need, must, never, phrase, label) for at, r in enumerate(prefix))
     index = docs.sparkSession.createDataFrame(
-        rows, "rank int, at int, template int, ranks array<int>, need int, phrase array<string>, label string"
+        rows, "rank int, at int, template int, ranks array<int>, need int, must array<int>, never array<int>, phrase array<string>, label string"
     )
 
     blocks = parked(_blocks(docs, sorted(prefixes)))
@@ -152,6 +173,7 @@ def _matches(blocks: DataFrame, order: list[str], index: DataFrame) -> DataFrame
     met = met.filter((have >= F.col("need")) & (F.col("place") <= have - F.col("need")) & (room >= F.col("need")))
     common = F.size(F.array_intersect("have", "ranks"))
     met = met.filter(common >= F.col("need")).withColumn("share", common / size)
+    met = met.filter((F.size(F.array_except("must", "have")) == 0) & ~F.arrays_overlap("never", "have"))
     return met.select("doc_id", "text_hash", "block", "tokens", "template", "phrase", "label", "share").distinct()
 
 
@@ -170,15 +192,16 @@ def oracle(phrases=PHRASES, notices=NOTICES, containment: float = CONTAINMENT) -
 
     base = ", ".join(f"({listed(text.split())}, '{label}')" for text, label in phrases)
     more = ", ".join(
-        f"({listed(sorted(set(text.split())))}, {needed(len(set(text.split())), containment)}, '{label}')" for text, label in notices
+        f"({listed(sorted(set(text.split())))}, {needed(len(set(text.split())), containment)}, {listed(must)}::varchar[],"
+        f" {listed(never)}::varchar[], '{label}')"
+        for (text, label), (must, never) in zip(notices, deciding(notices, containment))
     )
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return f"""
 with d as (
   select row_number() over () as r, doc_id,
-         regexp_extract_all(translate(coalesce("text", ''), '{letters}', '{letters.lower()}'), '{WORD}') as w
+         regexp_extract_all(translate(coalesce("text", ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') as w
   from documents
-), phrases(tokens, label) as (values {base}), notices(tokens, need, label) as (values {more}),
+), phrases(tokens, label) as (values {base}), notices(tokens, need, must, never, label) as (values {more}),
 places as (
   select r, label, i from (select r, w, label, tokens, unnest(range(len(w))) as i from d, phrases)
   where w[i + 1:i + len(tokens)] = tokens
@@ -190,7 +213,8 @@ places as (
 ), n as (
   select r, list(distinct label) as labels, max(share) as score
   from (select r, label, need, len(list_intersect(blocks.tokens, notices.tokens)) as common,
-               len(list_intersect(blocks.tokens, notices.tokens)) / len(notices.tokens) as share from blocks, notices)
+               len(list_intersect(blocks.tokens, notices.tokens)) / len(notices.tokens) as share from blocks, notices
+        where list_has_all(blocks.tokens, must) and not list_has_any(blocks.tokens, never))
   where common >= need group by r
 )
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base,

@@ -17,8 +17,10 @@ def brute(text):
                 base.add(label)
     for start in range(0, len(words), STRIDE):
         block = set(words[start : start + WIDTH])
-        for notice, label in NOTICES:
+        for (notice, label), (must, never) in zip(NOTICES, license_scan.deciding(NOTICES, license_scan.CONTAINMENT)):
             tokens = set(notice.split())
+            if not set(must) <= block or set(never) & block:
+                continue
             if len(tokens & block) >= needed(len(tokens), license_scan.CONTAINMENT):
                 labels.add(label)
                 score = max(score, len(tokens & block) / len(tokens))
@@ -51,6 +53,23 @@ def test_agrees_with_every_block_and_template(spark):
     assert sorted((tuple(r) for r in got), key=key) == sorted(((i, *brute(t)) for i, t in data), key=key)
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("Licensed under CC BY 4.0.", "cc-by"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),  # "cc by" is a phrase
+        ("This work is licensed under the GNU General Public License version 3", "gpl"),
+        ("This work is licensed under the GNU Lesser General Public License version 3", "lgpl"),
+        ("You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "lgpl"),
+        ("licensed under the Apache \u212aicense version 2 0 M\u0130T license", "apache"),
+    ],
+)
+def test_siblings_are_told_apart(spark, text, labels):
+    assert license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().labels == labels
+
+
 def test_empty_table(spark):
     assert license_scan.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
