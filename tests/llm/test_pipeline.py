@@ -49,7 +49,7 @@ def test_lines(stages):
 
 def test_near_duplicates(stages):
     before = texts(stages["line dedup"])
-    want = near_components(before, 5, 80)
+    want = near_components(before, 2, 80)
     assert texts(stages["MinHash near-dedup"]) == {d: t for d, t in before.items() if want[d] == d}
 
 
