@@ -6,6 +6,10 @@ item's q-grams, on e + 1 neighbouring diagonals (place in the text less place in
 dealt into bands of 2 (e + 1) that overlap by half, so one band has all of them. A band with fewer shared
 q-grams than that is out; of the others, the region of text is aligned with the item inside the band.
 
+An item is looked for as a whole, unless it is very long, and, if it is long, in overlapping passages of ``PASSAGE`` bytes, each with the same
+bands and alignment, so that a part of an item is found as well. Whatever stretch of an item has one and a half times
+``PASSAGE`` bytes holds a whole passage.
+
 The benchmark goes to the tasks in blocks of bounded size; each block is a pass over the documents, which are
 never shuffled.
 """
@@ -26,12 +30,17 @@ from readmap.llm.tokens import utf8
 Q = 10
 #: Edits per byte of an item.
 EDIT_RATE = 0.08
+#: Bytes of a passage, of which the next one begins half as far on, and words that an item must have to be looked for.
+PASSAGE, LEAST_WORDS = 100, 3
+#: Bytes of an item beyond which it is looked for by its passages alone: aligning it whole would take memory and time
+#: that grow with the square of its length.
+LONGEST_WHOLE = 2000
 #: Bytes of items whose q-grams are sent to the tasks at a time (16 bytes for each).
 BLOCK_BYTES = 2_000_000
 #: Places that are hashed at a time, regions that are aligned at a time.
 STEP, ALIGNED = 1 << 20, 512
 
-FOUND = "doc_id long, item_id long, start long, end long, edits int, passage string"
+FOUND = "doc_id long, item_id long, start long, end long, edits int, share double, passage string"
 
 
 def normalised(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -119,12 +128,32 @@ def _grams(texts: list[np.ndarray], chosen: list[int], size: int) -> Grams:
     return Grams(size, seen, unique, np.append(firsts, len(hashes)), items[order], places[order])
 
 
+def enough_words(form: np.ndarray) -> bool:
+    """Is a normalised item long enough to be looked for?"""
+    return len(form) > 0 and int((form == 32).sum()) + 1 >= LEAST_WORDS
+
+
+def passages(size: int) -> list[int]:
+    """Where the passages of an item begin; the last one ends with it."""
+    return [*range(0, size - PASSAGE, PASSAGE // 2), size - PASSAGE]
+
+
+def _at_words(raw: np.ndarray, start: int, end: int) -> bool:
+    return (start == 0 or raw[start - 1] == 32) and (end == len(raw) or raw[end] == 32)
+
+
 class Index:
-    """Items of one block."""
+    """Items of one block, as parts to look for: each item whole, then its passages."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], rate: float = EDIT_RATE, q: int = Q):
-        self.texts = [normalised(text)[0] for _, text in items]
         self.ids = [item_id for item_id, _ in items]
+        forms = [normalised(text)[0] for _, text in items]
+        self.sizes = [len(form) for form in forms]
+        # Owner, first and end byte of each part.
+        sizes = [n if enough_words(form) else 0 for n, form in zip(self.sizes, forms)]
+        self.parts = [(k, 0, n if n <= LONGEST_WHOLE else 0) for k, n in enumerate(sizes)]
+        self.parts += [(k, a, a + PASSAGE) for k, n in enumerate(sizes) if n > PASSAGE for a in passages(n)]
+        self.texts = [forms[k][a:b] for k, a, b in self.parts]
         self.lengths = np.array([len(t) for t in self.texts], np.int64)
         # So few edits that whole q-grams must be left; an item shorter than one is searched as it is.
         self.edits = np.clip(np.minimum((rate * self.lengths).astype(np.int64), self.lengths // q - 1), 0, None)
@@ -132,10 +161,12 @@ class Index:
         self.least = self.lengths + 1 - sizes * (self.edits + 1)
         self.grams = [_grams(self.texts, np.flatnonzero(sizes == s).tolist(), s) for s in sorted({*sizes.tolist()} - {0})]
 
-    def find(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        """Text, item, first byte, end byte and edits of each region that is an item within its edits.
+    def find(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int, float]]:
+        """Text, item, first byte, end byte, edits and share of the item for each region that is one, or a part of one.
 
-        Of regions of one item that overlap, the one with the fewest edits counts.
+        Of regions that are whole items and overlap, the one with the fewest edits counts. Passages of one item that
+        overlap in the text are one region, with the edits of the worst passage, unless they lie in a whole item. An item
+        that may have no edits has to begin and end with a word.
         """
         forms = [normalised(text) for text in texts]
         bounds = np.cumsum([0, *(len(raw) + 1 for raw, _ in forms)])
@@ -144,16 +175,41 @@ class Index:
             joined[start : start + len(raw)] = raw
         regions = [self._regions(joined, bounds, grams) for grams in self.grams]
         regions = np.concatenate(regions) if regions else np.zeros((0, 3), np.int64)
+        whole: dict[tuple[int, int], list] = {}
+        pieces: dict[tuple[int, int], list] = {}
+        for text, part, start, end, edits in self._align(joined, bounds, regions):
+            item = self.parts[part][0]
+            if part >= len(self.ids):
+                pieces.setdefault((text, item), []).append((start, end, edits, part))
+            elif self.edits[part] or _at_words(forms[text][0], start, end):
+                whole.setdefault((text, item), []).append((edits, start, end))
         found = []
-        for text, item, start, end, edits in self._align(joined, bounds, regions):
-            places = forms[text][1]
-            found.append((text, item, int(places[start]), int(places[end - 1]) + 1, edits))
-        found.sort(key=lambda f: (f[0], f[1], f[4], f[2], f[3]))
-        kept: list[tuple[int, int, int, int, int]] = []
-        for f in found:
-            if not any(k[:2] == f[:2] and f[2] < k[3] and k[2] < f[3] for k in reversed(kept)):
-                kept.append(f)
-        return kept
+        for key in sorted({*whole, *pieces}):
+            kept: list[tuple[int, int, int, float]] = []
+            for edits, start, end in sorted(whole.get(key, ())):
+                if not any(start < b and a < end for a, b, _, _ in kept):
+                    kept.append((start, end, edits, 1.0))
+            kept += [r for r in self._merged(pieces.get(key, ()), key[1]) if not any(r[0] < b and a < r[1] for a, b, _, _ in kept)]
+            places = forms[key[0]][1]
+            found += [(*key, int(places[a]), int(places[b - 1]) + 1, edits, share) for a, b, edits, share in kept]
+        return found
+
+    def _merged(self, pieces, item: int) -> list[tuple[int, int, int, float]]:
+        """Passages of an item in a text as regions: start, end, edits, share of the item."""
+        merged: list[tuple[int, int, int, list]] = []
+        for start, end, edits, part in sorted(pieces):
+            if merged and start < merged[-1][1]:
+                first, last, most, parts = merged.pop()
+                merged.append((first, max(last, end), max(most, edits), [*parts, part]))
+            else:
+                merged.append((start, end, edits, [part]))
+        out = []
+        for start, end, edits, parts in merged:
+            seen = np.zeros(self.sizes[item], bool)
+            for part in parts:
+                seen[self.parts[part][1] : self.parts[part][2]] = True
+            out.append((start, end, edits, float(seen.mean())))
+        return out
 
     def _regions(self, joined: np.ndarray, bounds: np.ndarray, grams: Grams) -> np.ndarray:
         """Text, item and first diagonal of each band with enough shared q-grams."""
@@ -162,7 +218,7 @@ class Index:
         width = self.edits[item] + 1
         diagonal = place - bounds[text] - at + self.lengths[item]  # never negative
         band = diagonal // width
-        pair = text * len(self.ids) + item
+        pair = text * len(self.parts) + item
         # Bands [b, b + 2) widths: a hit is in its own and the one before.
         keys = np.concatenate([pair, pair]), np.concatenate([band, np.maximum(band - 1, 0)])
         order = np.lexsort(keys[::-1])
@@ -170,11 +226,11 @@ class Index:
         new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])])) if len(pair) else order
         counts = np.diff(np.append(new, len(pair)))
         pair, band = pair[new], band[new]
-        item = pair % len(self.ids)
+        item = pair % len(self.parts)
         enough = counts >= self.least[item]
         pair, band, item = pair[enough], band[enough], item[enough]
         first = band * (self.edits[item] + 1) - self.lengths[item]
-        return np.stack([pair // len(self.ids), item, first], axis=1)
+        return np.stack([pair // len(self.parts), item, first], axis=1)
 
     def _align(self, joined, bounds, regions) -> Iterator[tuple[int, int, int, int, int]]:
         regions = regions[np.argsort(self.lengths[regions[:, 1]], kind="stable")]
@@ -230,11 +286,12 @@ class Index:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Regions of whole documents that are a benchmark item within ``rate`` edits per byte.
+    """Regions of whole documents that are a benchmark item, or passages of one, within ``rate`` edits per byte.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` needs ``item_id`` and ``text``. Returns ``doc_id,
-    item_id, start, end`` (code points of the text), ``edits`` and the ``passage``; for one document row and item,
-    regions do not overlap. NULL and empty texts, and items without a letter or digit, match nothing. Equal rows
+    item_id, start, end`` (code points of the text), ``edits``, the ``share`` of the item that was found (1 for whole
+    items), and the ``passage``; for one document row and item, regions do not overlap. NULL and empty texts match nothing, nor do
+    items of fewer than ``LEAST_WORDS`` words, which any text might have (``items_left_out`` lists them). Equal rows
     of ``benchmark`` count once; other rows, NULL ids too, stand for themselves. Empty tables give no rows.
     """
     docs, found = docs.select("doc_id", "text"), None
@@ -244,6 +301,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
     return found
 
 
+def items_left_out(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text`` of the items that are too short to be looked for; NULL texts among them."""
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not enough_words(normalised(text)[0]) for text in utf8(batch.column(1))], pa.bool_()))
+
+    items = benchmark.select("item_id", "text")
+    return map_texts(items, short, items.schema)
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs``, with all columns, without the rows in which ``contaminated`` finds a region."""
     for index in _indexes(benchmark, rate, block_bytes):
@@ -275,7 +343,7 @@ def _clean(shared):
 
 
 def _search(shared):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("passage", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("share", pa.float64()), ("passage", pa.string())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -283,7 +351,7 @@ def _search(shared):
             doc_ids = batch.column(0).to_pylist()
             for start in range(0, len(doc_ids), 500):
                 part, columns = utf8(batch.column(1).slice(start, 500)), [[] for _ in schema]
-                for text, item, first, end, edits in index.find(part):
+                for text, item, first, end, edits, share in index.find(part):
                     raw = part[text]
                     # A region begins and ends with whole characters, or takes those it cuts.
                     while first and raw[first] & 0xC0 == 0x80:
@@ -292,7 +360,7 @@ def _search(shared):
                         end += 1
                     passage = raw[first:end].decode()
                     before = len(raw[:first].decode())
-                    row = (doc_ids[start + text], index.ids[item], before, before + len(passage), edits, passage)
+                    row = (doc_ids[start + text], index.ids[item], before, before + len(passage), edits, share, passage)
                     for column, value in zip(columns, row):
                         column.append(value)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
