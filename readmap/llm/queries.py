@@ -138,11 +138,11 @@ with v as (
   where vec_id is not null and embedding is not null
     and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)
 ), s as (
-  select q.vec_id as query_id, d.vec_id,
+  select q.vec_id as query_id, q.c, d.vec_id,
          cast(list_sum(list_transform(list_zip(q.c, d.c), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) as bigint) as score
-  from v q join v d on q.vec_id % 100 = 0 and q.vec_id <> d.vec_id
+  from (select distinct vec_id, c from v) q join v d on q.vec_id % 100 = 0 and q.vec_id <> d.vec_id
 ), r as (
-  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s
+  select *, cast(row_number() over (partition by query_id, c order by score desc, vec_id) as int) as rank from s
 )
 select query_id, rank, vec_id, score from r where rank <= 10
 """,
