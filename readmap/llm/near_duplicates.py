@@ -199,7 +199,8 @@ def _class_labels(docs: DataFrame, classes: DataFrame, shingle_words: int, perce
     there = parked(there.select("bucket", "node", "label"))
     counts = there.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-    main = main.filter("labels > 1").select("bucket", F.col("main.label").alias("main"))
+    # A table, so that the join of a hot bucket's members can be split.
+    main = parked(main.filter("labels > 1").select("bucket", F.col("main.label").alias("main")))
     grouped = there.join(main, "bucket").select("node", "label", "main").distinct()
     degrees = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n"))
     hubs = degrees.join(labels, "node").groupBy(F.col("label").alias("main")).agg(F.max(F.struct("n", "node")).alias("hub"))
