@@ -10,6 +10,10 @@ found by sorting: the suffixes that share their first words are put in order of
 words that come before, read backwards. In such an order, nobody shares more words with a suffix than
 its neighbours, so comparing neighbours gives how far the matches at a run's ends extend, to the right and to
 the left. (Passages may overlap, so that not only a run's outermost suffix but all within a window of it are asked.)
+
+A run's parts may be shared with different documents. Where a match extends a kept suffix by ``WINDOW`` - 1 words to one side,
+one other document has ``PASSAGE`` words of it. In the other runs, each ``PASSAGE`` words in a row are compared by hash:
+these belong to the kept suffix at the least hash of their first ``WINDOW`` places, in every document alike.
 """
 
 from collections.abc import Iterator
@@ -47,13 +51,17 @@ def anchors(words: np.ndarray) -> np.ndarray:
 
 def shared_hashes(words: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Hash of the ``SHARED`` words from each place on."""
+    return _row_hashes(words, places, SHARED)
+
+
+def _row_hashes(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     powers = np.full(len(words), _FACTOR, np.uint64)
     back = np.full(len(words), _INVERSE, np.uint64)
     powers[:1], back[:1] = 1, 1
     np.multiply.accumulate(powers, out=powers)
     np.multiply.accumulate(back, out=back)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers)])
-    return mixed((sums[places + SHARED] - sums[places]) * back[places])
+    return mixed((sums[places + size] - sums[places]) * back[places])
 
 
 def thinned(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -93,8 +101,8 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, first_word, n_words, start, end, is_first``: what other documents have as well.
 
-    Each run of ``PASSAGE`` or more words that another document has is wholly inside a span; every part of a span belongs to
-    a run of ``SHARED`` or more such words. Spans of a document do not touch, and have ``PASSAGE`` words or more. ``start`` and
+    Each run of ``PASSAGE`` or more words that another document has is wholly inside a span, and each span has such a run; every
+    part of a span belongs to a run of ``SHARED`` or more such words. Spans of a document do not touch, and have ``PASSAGE`` words or more. ``start`` and
     ``end`` are code points of the text. ``is_first``: of all documents with a part of the span, this one has
     the smallest hash, so whoever removes the other spans keeps one of each passage.
 
@@ -123,20 +131,27 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     involved = bounded(runs.select("doc").distinct(), BROADCAST_ROWS)
     texts = parked(docs.join(involved, "doc", "left_semi"))
-    longer = [_extended(ends, texts, side) for side in ("left", "right")]
     spans = runs
-    for side, found in zip(("left", "right"), longer):
-        spans = spans.join(found.withColumnRenamed("words", side), ["doc", "run"], "left")
-    spans = spans.select(
-        "doc", (F.col("first") - F.coalesce("left", F.lit(0))).alias("first"),
+    for side in ("left", "right"):
+        found = _extended(ends, texts, side).withColumnsRenamed({"words": side, "whole": f"whole_{side}"})
+        spans = spans.join(found, ["doc", "run"], "left")
+    spans = parked(spans.select(
+        "doc", "run", (F.col("first") - F.coalesce("left", F.lit(0))).alias("first"),
         (F.col("last") + SHARED + F.coalesce("right", F.lit(0))).alias("end"), "is_first",
-    )
-    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "end", "is_first")).alias("spans"))
+        F.coalesce(F.col("whole_left") | F.col("whole_right"), F.lit(False)).alias("whole"),
+    ))
+    doubtful = spans.filter(~F.col("whole")).select("doc", "run")
+    proven = _with_passages(numbered.select("key", "doc", "place", "run"), doubtful, texts).withColumn("proven", F.lit(True))
+    spans = spans.join(proven, ["doc", "run"], "left").withColumn("whole", F.col("whole") | F.coalesce("proven", F.lit(False)))
+    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "end", "is_first", "whole")).alias("spans"))
     return map_texts(texts.join(spans, "doc").select("doc_id", "text", "spans"), _located, SPANS)
 
 
 def _extended(ends: DataFrame, texts: DataFrame, side: str) -> DataFrame:
-    """``doc, run, words``: by how many words the run extends to the side, in some other document."""
+    """``doc, run, words, whole``: by how many words the run extends to the side, in some other document.
+
+    ``whole``: a kept suffix, with its match on that side, has ``PASSAGE`` words.
+    """
     inside = F.col("after" if side == "left" else "ahead")
     keys = bounded(ends.filter(inside < WINDOW).select("key").distinct(), BROADCAST_ROWS)
     asked = ends.join(keys, "key", "left_semi").withColumn("inside", inside)
@@ -145,15 +160,52 @@ def _extended(ends: DataFrame, texts: DataFrame, side: str) -> DataFrame:
     around = map_texts(texts.select("doc", "text").join(asked, "doc"), _around(side), schema)
     ordered = parked(around).repartitionByRange("key", "around", "doc").sortWithinPartitions("key", "around", "doc")
     compared = parked(ordered.mapInArrow(_neighbours, f"{schema}, words int, edge boolean"))
-    # The outermost rows of each partition, compared once more across partitions: up to four for each.
+    # The outermost rows of each partition, compared once more across partitions: at most the runs of two documents.
     edges = sorted(compared.filter("edge").select("key", "around", "doc", "run", "inside").collect())
     more = []
     if edges:
         found = _shared_words(*(np.array(c) for c in zip(*((e.key, e.doc) for e in edges))), _matrix([bytes(e.around) for e in edges]))
         more = [(e.doc, e.run, e.inside, int(n)) for e, n in zip(edges, found)]
     across = texts.sparkSession.createDataFrame(more, "doc long, run long, inside int, words int")
-    both = compared.select("doc", "run", "inside", "words").unionByName(across).filter(F.col("words") > F.col("inside"))
-    return both.groupBy("doc", "run").agg(F.max(F.col("words") - F.col("inside")).alias("words"))
+    both = compared.select("doc", "run", "inside", "words").unionByName(across)
+    longest = F.greatest(F.max(F.col("words") - F.col("inside")), F.lit(0))
+    return both.groupBy("doc", "run").agg(longest.alias("words"), (F.max("words") >= WINDOW - 1).alias("whole"))
+
+
+def _with_passages(suffixes: DataFrame, doubtful: DataFrame, texts: DataFrame) -> DataFrame:
+    """``doc, run``: those of the doubtful runs of which another document has ``PASSAGE`` words in a row."""
+    there = parked(suffixes.join(doubtful, ["doc", "run"]))
+    keys = bounded(parked(there.select("key").distinct()), BROADCAST_ROWS)
+    asked = suffixes.join(keys, "key", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("place", "run")).alias("asked"))
+    found = parked(map_texts(texts.select("doc", "text").join(asked, "doc"), _passages, "passage long, doc long, run long"))
+    owners = found.groupBy("passage").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    owners = parked(owners.filter("least <> most").select("passage"))  # a table, so that a hot passage's join can be split
+    return found.join(owners, "passage").select("doc", "run").distinct()
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the ``PASSAGE`` words in a row that belong to the suffixes asked for, once for each run."""
+    for batch in batches:
+        found: list[list] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for doc, text, asked in zip(batch.column(0).to_pylist(), each_utf8(batch.column(1)), batch.column(2).to_pylist()):
+            words = word_hashes(text)
+            if len(words) < PASSAGE:
+                continue
+            places, runs = np.array(sorted((a["place"], a["run"]) for a in asked)).T
+            at = anchors(words)
+            kept = at[thinned(shared_hashes(words, at), at)]
+            seeds = rows_of(words, SEED)
+            least = np.lib.stride_tricks.sliding_window_view(seeds, WINDOW).argmin(axis=1) + np.arange(len(seeds) - WINDOW + 1)
+            # Where the least hash is at a suffix that was thinned out, the one before it stands for it.
+            least = least[: len(words) - PASSAGE + 1]
+            owner = kept[np.searchsorted(kept, least, "right") - 1]
+            which = np.minimum(np.searchsorted(places, owner), len(places) - 1)
+            wanted = np.flatnonzero(places[which] == owner)
+            hashes = _row_hashes(words, wanted, PASSAGE).view(np.int64)
+            passages, run = np.unique(np.stack([hashes, runs[which[wanted]]]), axis=1)
+            for column, values in zip(found, (passages, np.full(len(passages), doc, np.int64), run)):
+                column.append(values)
+        yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in found], ["passage", "doc", "run"])
 
 
 def _around(side: str):
@@ -208,13 +260,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(batches) if batches else None
     if rows is None or not rows.num_rows:
         return
-    docs = rows["doc"].to_numpy()
-    words = _shared_words(rows["key"].to_numpy(), docs, _matrix(rows["around"].to_pylist()))
+    keys, docs = rows["key"].to_numpy(), rows["doc"].to_numpy()
+    words = _shared_words(keys, docs, _matrix(rows["around"].to_pylist()))
+    inside = np.stack([rows["run"].to_numpy(), rows["inside"].to_numpy()], axis=1)
     edge = np.zeros(len(docs), bool)
-    for order in (slice(None), slice(None, None, -1)):  # the first row and the first of another document, from either end
-        own = docs[order]
-        edge[order][:1] = True
-        edge[order][np.flatnonzero(own != own[0])[:1]] = True
+    # From either end: the rows before the first of another document or key, and that one. Of rows as far inside the same run,
+    # the outermost shares most.
+    for order in (slice(None), slice(None, None, -1)):
+        other = (docs[order] != docs[order][0]) | (keys[order] != keys[order][0])
+        alone = int(other.argmax()) if other.any() else len(docs)
+        edge[order][np.unique(inside[order][:alone], axis=0, return_index=True)[1]] = True
+        edge[order][alone : alone + 1] = True
     rows = rows.append_column("words", pa.array(words.astype(np.int32))).append_column("edge", pa.array(edge))
     yield from rows.to_batches()
 
@@ -230,17 +286,18 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[] for _ in names]
         for doc_id, text, spans in zip(batch.column(0).to_pylist(), each_utf8(batch.column(1)), batch.column(2).to_pylist()):
             merged: list[list] = []
-            for span in sorted((s["first"], s["end"], s["is_first"]) for s in spans):
+            for span in sorted((s["first"], s["end"], s["is_first"], s["whole"]) for s in spans):
                 if merged and span[0] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], span[1])
                     merged[-1][2] = min(merged[-1][2], span[2])
+                    merged[-1][3] |= span[3]
                 else:
                     merged.append(list(span))
-            merged = [m for m in merged if m[1] - m[0] >= PASSAGE]
+            merged = [m for m in merged if m[3]]
             if not merged:
                 continue
             at = np.array([m.span() for m in word.finditer(text)])
-            for first, end, is_first in merged:
+            for first, end, is_first, _ in merged:
                 start = len(text[: at[first][0]].decode())
                 size = len(text[at[first][0] : at[end - 1][1]].decode())
                 for column, value in zip(columns, (doc_id, first, end - first, start, start + size, bool(is_first))):

@@ -53,6 +53,35 @@ def test_agrees_with_all_windows(spark, seed):
             marks[r.first_word : r.first_word + r.n_words] = True
         must, may = (covered(t, size, owners[size]) for size in (repeats.PASSAGE, repeats.SHARED))
         assert not (must & ~marks).any() and not (marks & ~may).any()
+        assert all(must[r.first_word : r.first_word + r.n_words].any() for r in by_doc[d])
+
+
+def test_a_span_needs_a_passage_of_one_other_document(spark):
+    words = [f"p{i}" for i in range(60)]
+    own = [[f"d{d}w{i}" for i in range(30)] for d in range(6)]
+    texts = [own[0] + words + own[1], own[2] + words[:45] + own[3], own[4] + words[15:] + own[5]]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    assert repeats.repeated_spans(docs).collect() == []
+    more = docs.unionByName(spark.createDataFrame([(9, " ".join(words[4:54]))], "doc_id long, text string"))
+    assert sorted(r.doc_id for r in repeats.repeated_spans(more).collect()) == [0, 9]
+
+
+def test_passages_at_thinned_suffixes(spark):
+    tail = " ".join(f"t{i}" for i in range(5))
+    texts = ["q " + "x " * 45 + tail, "x " * 100 + tail, "x " * 30 + "y " + "z " * 60, "u " + "z " * 50 + "v"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in repeats.repeated_spans(docs).collect()) == [0, 1, 2, 3]
+
+
+def test_rows_at_the_ends_of_partitions():
+    import pyarrow as pa
+
+    # Document 1 has the key three times, in two runs; then comes another document.
+    around = [np.array(w, ">u8").tobytes() for w in ([1], [1], [1, 2], [1, 3])]
+    columns = [pa.array([7] * 4), pa.array(around, pa.binary()), pa.array([1, 1, 1, 2]), pa.array([0, 0, 1, 0]), pa.array([0, 0, 0, 0], pa.int32())]
+    batch = pa.record_batch(columns, ["key", "around", "doc", "run", "inside"])
+    rows = pa.Table.from_batches(repeats._neighbours([batch]))
+    assert rows["edge"].to_pylist() == [True, False, True, True]
 
 
 def test_one_of_each_passage_is_first(spark):
