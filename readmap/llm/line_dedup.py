@@ -3,12 +3,13 @@
 A line of the smaller or equal length is cut into ``EDITS + 1`` segments. Whatever two edits do to it, one segment
 stays whole, and the number of edits before and after it bounds where it can stand in the other line. So each
 line is entered under the hashes of its segments (with length and segment number), and looked up under
-those of the few substrings that could be a segment of a line as long or up to two shorter. Pairs that meet, and
+those of the few substrings that could be a segment of a line as long or up to two shorter. Keys that many lines
+have (those made from one template) are divided: the rest of the line is cut into segments once more. Pairs that meet, and
 whose counts of some letters differ by no more than the edits allow, are verified: without their common beginning and end, by a banded bit-parallel automaton that holds, for each
 number of edits, the diagonals reached as bits of one number.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readmap.llm.common import bounded, fresh, parked
@@ -19,6 +20,14 @@ LEAST_LENGTH = 20
 #: Letters that are counted; any would do, frequent ones tell most.
 COUNTED = "etnaisrohdlucmwb"
 BROADCAST_ROWS = 1_000_000
+#: A key under which more lines are entered is divided.
+HOT = 50
+#: Where a line is looked up: code points that the other one has less, number of its segment, code points that
+#: the segment stands further on here. At most as many edits as the number are before a segment, the others are after it.
+#: Of two lines as long, the one whose middle stands further on finds the other.
+FORMS = [(0, 0, 0), (0, 1, 0), (0, 2, 0), (0, 1, 1), (1, 0, 0), (1, 1, 0), (1, 1, 1), (1, 2, 1), (2, 0, 0), (2, 1, 1), (2, 2, 2)]
+#: The first ones are a line's own segments.
+ENTERED = EDITS + 1
 # Fixed value: characters that do not count at a line's ends.
 BLANKS = "".join(map(chr, range(33)))
 
@@ -45,27 +54,13 @@ def _measured(lines: DataFrame) -> DataFrame:
     return lines.withColumns(columns)
 
 
-def _entries() -> list[Column]:
-    """Keys of a line's own segments."""
-    return [_key(0, n, F.col("line").substr(F.col(f"start0{n}"), F.col(f"size0{n}"))) for n in range(EDITS + 1)]
-
-
-def _lookups() -> list[Column]:
-    """Keys of the substrings that can be a segment of a line with ``shorter`` code points less."""
+def _keyed(classes: DataFrame) -> DataFrame:
+    """``node, form, key``: a row for each of ``FORMS``; under the first ones a line is entered, under all it is looked up."""
     keys = []
-    for shorter in range(EDITS + 1):
-        for number in range(EDITS + 1):
-            start, size = F.col(f"start{shorter}{number}"), F.col(f"size{shorter}{number}")
-            # At most `number` edits are before the segment, at most the others are after it. Lines are so
-            # long that such a substring is always inside.
-            rest = EDITS - number
-            for shift in range(max(-number, shorter - rest), min(number, shorter + rest) + 1):
-                keys.append(_key(shorter, number, F.col("line").substr(start + shift, size)))
-    return keys
-
-
-def _key(shorter: int, number: int, part: Column) -> Column:
-    return F.xxhash64(F.col("length") - shorter, F.lit(number), part)
+    for shorter, number, shift in FORMS:
+        start, size = F.col(f"start{shorter}{number}"), F.col(f"size{shorter}{number}")
+        keys.append(F.xxhash64(F.col("length") - shorter, F.lit(number), F.col("line").substr(start + shift, size)))
+    return _measured(classes).select("node", F.posexplode(F.array(*keys)).alias("form", "key"))
 
 
 def _letters() -> Column:
@@ -82,25 +77,108 @@ def _alike(a: str, b: str) -> Column:
     return F.expr(f"{' + '.join(steps)} <= {2 * EDITS}")
 
 
+def _met(keyed: DataFrame, entered: Column) -> DataFrame:
+    """Rows whose key another row has, if any is entered there, with ``size``: how many are.
+
+    Counts fold before they are shuffled, so that a key that a third of all rows have stays in no task.
+    """
+    counts = keyed.groupBy("key").agg(F.count_if(entered).alias("size"), F.count("*").alias("rows"))
+    counts = parked(counts.filter("size > 0 AND rows > 1").select("key", "size"))
+    return parked(keyed.join(bounded(counts, BROADCAST_ROWS), "key"))
+
+
+def _first_states(rows: DataFrame) -> DataFrame:
+    """What the key of a line's segment leaves open: all before, all after it, or one part on either side."""
+    def by_form(values) -> Column:
+        return F.element_at(F.array(*(F.lit(v) for v in values)), F.col("form") + 1)
+
+    rows = rows.withColumns({name: by_form([form[i] for form in FORMS]) for i, name in enumerate(("shorter", "number", "shift"))})
+    rows = rows.withColumns({"n": F.col("length") - F.col("shorter"), "entered": F.col("form") < ENTERED})
+    # As in _measured: the remainder goes to the last segments.
+    rows = rows.withColumns({"z0": F.expr("n div 3"), "z1": F.expr("(n + 1) div 3"), "z2": F.expr("(n + 2) div 3")})
+    return rows.selectExpr(
+        "key", "node", "size", "entered", "shorter", "shift", "if(number = 0, z0, 0) AS p0",
+        "CASE number WHEN 0 THEN z1 + z2 WHEN 1 THEN z0 ELSE z0 + z1 END AS pn",
+        "if(number = 1, z0 + z1, NULL) AS q0", "if(number = 1, z2, NULL) AS qn",
+    )
+
+
+def _divided(states: DataFrame) -> DataFrame:
+    """The keys, one step finer, of rows with ``line``.
+
+    One open part holds up to two edits: of its three segments one is whole, and the rest stays open, as
+    one part or, if the middle is whole, as two. Two open parts hold one edit each: of either, one half is whole. Before
+    the first open part the line stands as in the shorter one, after the last it is ``shorter`` further on, and
+    between two it is ``shift`` further on.
+    """
+    def child(key: str, entered: str, shift: str, p0: str, pn: str, q0: str = "CAST(NULL AS INT)", qn: str = "CAST(NULL AS INT)") -> str:
+        return (
+            f"named_struct('key', xxhash64(key, {key}), 'entered', {entered}, 'shorter', shorter, 'shift', {shift},"
+            f" 'p0', {p0}, 'pn', {pn}, 'q0', {q0}, 'qn', {qn})"
+        )
+
+    def middle(entered: str, shift: int) -> str:
+        return child(f"1, substring(line, p0 + z0 + {shift + 1}, z1)", entered, str(shift), "p0", "z0", "p0 + z0 + z1", "z2")
+
+    one = [
+        child("0, substring(line, p0 + 1, z0)", "entered", "0", "p0 + z0", "z1 + z2"),
+        child("2, substring(line, p0 + z0 + z1 + shorter + 1, z2)", "entered", "0", "p0", "z0 + z1"),
+        f"if(shorter < 2, {middle('entered', 0)}, NULL)",
+        middle("false", 1),
+    ]
+    two = []
+    for x, whole_p, open_p in ((0, "p0 + u0 + shift + 1, u1", ("p0", "u0")), (1, "p0 + 1, u0", ("p0 + u0", "u1"))):
+        for y, whole_q, open_q in ((0, "q0 + v0 + shorter + 1, v1", ("q0", "v0")), (1, "q0 + shift + 1, v0", ("q0 + v0", "v1"))):
+            key = f"{3 + 2 * x + y}, substring(line, {whole_p}), substring(line, {whole_q})"
+            two.append(child(key, "entered", "shift", *open_p, *open_q))
+    sizes = {"z0": "pn div 3", "z1": "(pn + 1) div 3", "z2": "(pn + 2) div 3", "u0": "pn div 2", "v0": "qn div 2"}
+    states = states.withColumns({name: F.expr(f"CAST({size} AS INT)") for name, size in sizes.items()})
+    states = states.withColumns({"u1": F.expr("pn - u0"), "v1": F.expr("qn - v0")})
+    found = F.expr(f"filter(if(q0 IS NULL, array({', '.join(one)}), array({', '.join(two)})), c -> c IS NOT NULL)")
+    return states.select("node", F.inline(found))
+
+
+def candidate_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of lines that share a key, with like counts of letters; among them all within ``EDITS``.
+
+    A key under which more than ``HOT`` lines are entered is divided, until the lines are too few or what it leaves open
+    is too short; lines that then meet differ in a few neighbouring places alone.
+    """
+    classes = classes.filter(F.col("length") >= LEAST_LENGTH)
+    rows = _met(_keyed(classes), F.col("form") < ENTERED)
+    nodes = bounded(rows.select("node").distinct(), BROADCAST_ROWS)
+    texts = parked(classes.select("node", "line", "length").join(nodes, "node", "left_semi").withColumn("letters", _letters()))
+    cool = rows.filter(F.col("size") <= HOT).withColumn("entered", F.col("form") < ENTERED)
+    found = [_meeting(cool, texts)]
+    states = _first_states(rows.filter(F.col("size") > HOT).join(texts.select("node", "length"), "node"))
+    final = F.when(F.col("q0").isNull(), F.col("pn") <= EDITS).otherwise((F.col("pn") <= 1) & (F.col("qn") <= 1))
+    hot = parked(states)
+    lines = texts.select("node", "line")
+    while hot.limit(1).count():
+        finer = _met(parked(_divided(hot.join(lines, "node"))), F.col("entered"))
+        done = (F.col("size") <= HOT) | final
+        found.append(_meeting(finer.filter(done), texts))
+        hot = parked(finer.filter(~done))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return parked(pairs.distinct())
+
+
+def _meeting(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of an entered row and another one with its key; a line that is entered is looked up there, too."""
+    rows = parked(rows.select("key", "node", "entered").join(texts.select("node", "letters"), "node"))
+    entered = rows.filter("entered").select("key", F.col("node").alias("a"), F.col("letters").alias("ca"))
+    looked = rows.select("key", F.col("node").alias("b"), F.col("letters").alias("cb"), F.col("entered").alias("both"))
+    pairs = entered.join(looked, "key").filter("a < b OR (a > b AND NOT both)").filter(_alike("ca", "cb"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def edit_links(classes: DataFrame) -> DataFrame:
     """All pairs ``a, b`` of distinct lines with at most ``EDITS`` edits, from ``node long, line string, length int``."""
-    measured = _measured(classes.filter(F.col("length") >= LEAST_LENGTH))
-    keys = [F.struct(key.alias("key"), F.lit(True).alias("entered")) for key in _entries()]
-    keys += [F.struct(key.alias("key"), F.lit(False).alias("entered")) for key in _lookups()]
-    keyed = measured.select(F.inline(F.array(*keys)), "node")
-    # Keys under which one line is entered and another one looked up: few lines have any.
-    alike = Window.partitionBy("key")
-    several = F.min("node").over(alike) != F.max("node").over(alike)
-    both = F.bool_or("entered").over(alike) & ~F.bool_and("entered").over(alike)
-    keyed = parked(keyed.withColumn("met", several & both).filter("met").drop("met"))
-    nodes = bounded(keyed.select("node").distinct(), BROADCAST_ROWS)
-    texts = parked(classes.select("node", "line").join(nodes, "node", "left_semi").withColumn("letters", _letters()))
-    keyed = parked(keyed.join(texts.select("node", "letters"), "node"))
-    entered = keyed.filter("entered").select("key", F.col("node").alias("a"), F.col("letters").alias("ca"))
-    looked = keyed.filter("NOT entered").select("key", F.col("node").alias("b"), F.col("letters").alias("cb"))
-    pairs = entered.join(looked, "key").filter(F.col("a") != F.col("b")).filter(_alike("ca", "cb"))
-    pairs = parked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    texts = texts.select("node", "line")
+    pairs = candidate_pairs(classes)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = parked(classes.select("node", "line").join(bounded(ends, BROADCAST_ROWS), "node", "left_semi"))
     first = texts.withColumnsRenamed({"node": "a", "line": "la"}).join(bounded(pairs, BROADCAST_ROWS), "a")
     both = first.join(texts.withColumnsRenamed({"node": "b", "line": "lb"}), "b")
     return both.filter(within_edits("la", "lb")).select("a", "b")

@@ -91,3 +91,33 @@ def test_no_python_in_the_plan(spark):
     for frame in (ld.edit_links(ld.line_classes(docs)), ld.without_repeated_lines(docs), ld.line_report(docs)):
         plan = frame._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def classes(spark, lines):
+    rows = [(i, line, len(line)) for i, line in enumerate(sorted(lines))]
+    return spark.createDataFrame(rows, "node long, line string, length int")
+
+
+@pytest.mark.parametrize("hot", [1, 6])
+def test_divided_keys_lose_no_link(spark, monkeypatch, hot):
+    monkeypatch.setattr(ld, "HOT", hot)
+    dice = random.Random(hot)
+    templates = ["{} request served from the cache", "узел {} отвечает на запрос", "第{}号の記録はここに保存されました。以上です", "aaaaaaaaaaaaaaaa{}aaaaaaaa"]
+    lines = set()
+    for n in range(220):
+        line = dice.choice(templates).format(str(dice.randrange(10 ** dice.choice([2, 4, 8]))).zfill(4))
+        lines.add(edited(dice, line, dice.choice([0, 0, 1, 2])))
+    lines = sorted(x for x in lines if len(x) >= ld.LEAST_LENGTH)
+    want = {(a, b) for a, x in enumerate(lines) for b, y in enumerate(lines[a + 1 :], a + 1) if abs(len(x) - len(y)) <= 2 and edit_distance(x, y) <= 2}
+    got = [tuple(r) for r in ld.edit_links(classes(spark, lines)).collect()]
+    assert len(got) == len(set(got)) and {tuple(sorted(pair)) for pair in got} == want and len(want) > 100
+
+
+def test_lines_of_one_template_do_not_all_meet(spark):
+    dice = random.Random(7)
+    found = {}
+    for n in (500, 2_000):
+        lines = {f"{dice.randrange(10**8):08} request served from the cache" for _ in range(n)}
+        found[n] = ld.candidate_pairs(classes(spark, lines)).count()
+    # All pairs are 124,750 and 1,999,000.
+    assert found[500] < 20 * 500 and found[2_000] < 40 * 2_000
