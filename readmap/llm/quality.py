@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-A text's features are its words, the runs of 3 to 4 bytes of its words with their borders, and pairs of
+A text's features are its words, the runs of 3 to 4 code points of its words with their borders, and pairs of
 neighbouring words, hashed into buckets; a word that stands twice in a row is one and the same feature for all words. Each bucket has a learned vector; a text is the average of its
 features' vectors, and a softmax over that average gives the classes. Vectors and output weights are trained
 together by stochastic gradient descent in numpy, on a bounded sample of labelled texts.
@@ -50,16 +50,18 @@ def _pieces(text: bytes) -> Iterator[tuple[int, int]]:
         if end - start > PIECE:
             space = max(text.rfind(s, start, start + PIECE) for s in (b" ", b"\n"))
             end = space + 1 if space > start else start + PIECE
+            while text[end] & 0xC0 == 0x80:  # never inside a code point
+                end -= 1
         yield start, end
         start = end
 
 
 def _piece_features(text: bytes) -> np.ndarray:
-    raw = np.frombuffer(b" " + text + b" ", np.uint8)
+    raw = np.frombuffer(f" {text.decode('utf-8', 'replace')} ".encode("utf-32-le"), np.uint32)
     space = (raw <= 32)
     # One border between words, whatever white space there is.
     keep = ~(space[1:] & space[:-1])
-    raw = np.where(space, np.uint8(32), raw)[np.concatenate([[True], keep])].astype(np.uint64)
+    raw = np.where(space, np.uint32(32), raw)[np.concatenate([[True], keep])].astype(np.uint64)
     if len(raw) < 3:
         return np.zeros(0, np.int64)
     space = raw == 32
@@ -73,7 +75,7 @@ def _piece_features(text: bytes) -> np.ndarray:
             # A border may stand first or last, but not in between.
             within = inside[size - 2 : len(raw) - 1] == inside[: len(raw) - size + 1]
             out.append(mixed(grams[within] + np.uint64(size)))
-    words = np.add.reduceat(mixed(raw * powers + _place(raw, borders)), borders[:-1]) if len(borders) > 1 else raw[:0]
+    words = np.add.reduceat(mixed(raw * powers + _place(raw, borders))[:-1], borders[:-1]) if len(borders) > 1 else raw[:0]
     out.append(mixed(words))
     if len(words) > 1:
         pairs = mixed(words[:-1] * powers + words[1:])
@@ -82,7 +84,7 @@ def _piece_features(text: bytes) -> np.ndarray:
 
 
 def _place(raw: np.ndarray, borders: np.ndarray) -> np.ndarray:
-    """Place of each byte in its word, spread over 64 bits."""
+    """Place of each code point in its word, spread over 64 bits."""
     starts = np.zeros(len(raw), np.int64)
     starts[borders] = borders
     place = np.arange(len(raw)) - np.maximum.accumulate(starts)

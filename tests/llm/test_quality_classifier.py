@@ -54,3 +54,47 @@ def test_without_labels_every_score_is_even(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     labels = spark.createDataFrame([(None, 1), (1, None), (1, 7)], "doc_id long, quality int")
     assert abs(quality.fit(docs, labels).score(b"a b c") - 0.5) < 1e-6
+
+
+def plain_features(text):
+    """Buckets of a text's features, one by one."""
+    every, factor = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def spread(x):
+        x = ((x ^ x >> 33) * 0xFF51AFD7ED558CCD) & every
+        x = ((x ^ x >> 33) * 0xC4CEB9FE1A85EC53) & every
+        return x ^ x >> 33
+
+    words = "".join(" " if ord(c) <= 32 else c for c in text).split(" ")
+    words = [w for w in words if w]
+    found, hashes = [], []
+    for word in words:
+        for size in quality.NGRAMS:
+            framed = f" {word} "
+            for i in range(len(framed) - size + 1):
+                gram = 0
+                for c in framed[i : i + size]:
+                    gram = (gram * factor + ord(c)) & every
+                found.append(spread((gram + size) & every))
+        hashes.append(sum(spread((ord(c) * factor + ((i + 1) << 20)) & every) for i, c in enumerate(f" {word}")) & every)
+    found += [spread(h) for h in hashes]
+    found += [1 if a == b else spread((a * factor + b) & every) for a, b in zip(hashes, hashes[1:])]
+    return sorted(x % quality.BUCKETS for x in found)
+
+
+def test_score_is_that_of_features_one_by_one():
+    texts = ["", " \t", "a", "é", "Über  die\nBrücke", "слово слово и дело", "一二三四五 六", "x y x y  x y ", "a\U0001f600b a\U0001f600b"]
+    model = quality.train([t.encode() for t in texts], [i % 2 for i in range(len(texts))])
+    for text in texts:
+        want = plain_features(text)
+        assert sorted(quality.features(text.encode()).tolist()) == want
+        margin = model.bias + sum(float(model.margins[b]) for b in want) / (len(want) + quality.BLANKS)
+        assert abs(model.score(text.encode()) - 1 / (1 + np.exp(-margin))) < 1e-9
+
+
+def test_pieces_keep_code_points_whole(monkeypatch):
+    monkeypatch.setattr(quality, "PIECE", 10)
+    text = ("слово" * 9 + " 一二三四五 \U0001f600" * 5).encode()
+    cuts = list(quality._pieces(text))
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(text) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    assert all(text[a:b].decode() for a, b in cuts)
