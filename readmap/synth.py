@@ -13,6 +13,8 @@ ADAPTERS = ["ACTGAC", "GGGGG"]
 HEX = "0123456789abcdef"
 HEX_TO_BASE = "ACTGACTGACTGACTG"
 HEX_TO_QUALITY = "!+5?@ABCDEFGHI#)"
+#: Rows of a table from which one task makes reads.
+TASK_ROWS = 50_000
 
 
 def _digest(prefix: str, number: str, alphabet: str) -> Column:
@@ -27,9 +29,24 @@ def qualities(prefix: str, number: str) -> Column:
     return _digest(prefix, number, HEX_TO_QUALITY)
 
 
+def spread(table: DataFrame, *columns: str) -> DataFrame:
+    """The columns of a table, a few numbers, over as many tasks as its rows need, in one order whenever it is read.
+
+    A small file becomes few tasks, however much work is made of each of its rows. Two tasks at least: rows
+    that are all in one are shuffled by no join, and small tables shall go the way of large ones.
+    """
+    tasks = -(-table.count() // TASK_ROWS)
+    return table.select(*columns).repartition(max(tasks, 2)).sortWithinPartitions(*columns)
+
+
+def made_once(*columns: Column) -> Column:
+    """The columns as one row of ``inline``: Spark would otherwise copy what makes them into each filter on them."""
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, name, seq1, qual1, seq2, qual2``."""
-    return pairs_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return pairs_of(spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id", "user_id"))
 
 
 def pairs_of(events: DataFrame, name_suffix: str | None = None) -> DataFrame:
@@ -56,10 +73,12 @@ def pairs_of(events: DataFrame, name_suffix: str | None = None) -> DataFrame:
 def mate(pairs: DataFrame, number: int) -> DataFrame:
     """One mate as a table of reads."""
     return pairs.select(
-        "name",
-        F.lit(number).alias("read_no"),
-        F.col(f"seq{number}").alias("sequence"),
-        F.col(f"qual{number}").alias("quality"),
+        made_once(
+            F.col("name"),
+            F.lit(number).alias("read_no"),
+            F.col(f"seq{number}").alias("sequence"),
+            F.col(f"qual{number}").alias("quality"),
+        )
     )
 
 
@@ -77,11 +96,9 @@ def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     twice = F.when(number % 10 == 1, F.struct(F.lit(900).alias("x"), F.lit(900).alias("y")))
     return (
-        spark.read.parquet(f"{sf_dir}/customer.parquet")
-        .select(
-            barcode_encode(bases("b", "c_custkey", 25)).alias("barcode"),
-            F.inline(F.array_compact(F.array(known, twice))),
-        )
+        spread(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_custkey")
+        .select("c_custkey", made_once(barcode_encode(bases("b", "c_custkey", 25)).alias("barcode")))
+        .select("barcode", F.inline(F.array_compact(F.array(known, twice))))
         .select("barcode", "x", "y")
     )
 
