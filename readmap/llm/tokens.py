@@ -1,8 +1,9 @@
 """Token ids of whole texts, by a tokenizer file of the ``tokenizers`` library.
 
 A tokenizer that drops white space never joins what white space separates, so a text is encoded chunk by chunk and
-the ids of each chunk are remembered. A new chunk that is one word of Latin letters goes to the tokenizer's model as it
-is, since normalising and splitting would leave it alone; other new chunks go through the whole tokenizer.
+the ids of each chunk are remembered. In a new chunk of Latin letters, digits and ASCII signs, the tokenizer would part words,
+digits and runs of signs; the words go to the tokenizer's model as they are, in lower case. Other new chunks go through the
+whole tokenizer.
 
 The two encoders take what looks like an added token for plain text; ``FileEncoder`` gives them only texts without any.
 """
@@ -25,7 +26,10 @@ class WordEncoder(dict):
     ``encode(texts)`` gives for each text its ids, unsigned 32-bit little-endian.
     """
 
-    word = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # what normalising and splitting leave alone
+    # Letters that stay one letter each; an apostrophe may belong to the letters that follow.
+    word = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+    parted = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+    parts = re.compile(word.pattern + rb"|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -38,23 +42,34 @@ class WordEncoder(dict):
         self.written = {ord(c): "".join(part for part, _ in level.pre_tokenize_str(c)) for c in letters}
         self.once: dict[bytes, bytes] = {}
         self.tokenize = self.tokenizer.model.tokenize
-        self.is_word = self.word.fullmatch
+        self.is_word, self.is_parted, self.parts_of = self.word.fullmatch, self.parted.fullmatch, self.parts.findall
 
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.once.pop(chunk, None)
         if ids is not None:
             self[chunk] = ids
             return ids
-        if self.is_word(chunk):
-            found = [token.id for token in self.tokenize(chunk.decode().translate(self.written))]
-            ids = array("I", found).tobytes()
-        elif chunk[-1:] in (b".", b",") and self.is_word(chunk[:-1]):
-            ids = self[chunk[:-1]] + self[chunk[-1:]]  # letters are never joined with others
+        if chunk.isalpha() or self.is_word(chunk):
+            ids = self._word(chunk)
+        elif self.is_parted(chunk) and len(parts := self.parts_of(chunk)) > 1:
+            ids = b"".join([self._part(part) for part in parts])
         else:
             ids = array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
         self.once[chunk] = ids
         return ids
 
+    def _part(self, part: bytes) -> bytes:
+        """Ids of a part of a chunk; words are remembered as chunks alone, as most that stand beside signs are rare."""
+        if not (part.isalpha() or self.is_word(part)):
+            return self[part]
+        return self.get(part) or self.once.get(part) or self._word(part)
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not word.isalpha():  # of ASCII letters alone
+            text = text.lower().translate(self.written)
+        return array("I", [token.id for token in self.tokenize(text)]).tobytes()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         found, ids = [], self.__getitem__
         for text in texts:

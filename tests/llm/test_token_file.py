@@ -96,3 +96,34 @@ def test_documents_round_trip(spark):
 def test_empty_table(spark):
     listing = tf.write_token_files(spark.createDataFrame([], "doc_id long, text string"), shared_folder(spark), WORD)
     assert tf.read_token_files(spark, listing).collect() == []
+
+
+class Counted:
+    """A tokenizer that keeps what it is given whole."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode(self, text, **options):
+        self.given.append(text)
+        return self.tokenizer.encode(text, **options)
+
+
+def test_new_words_beside_signs_and_capitals_go_to_the_model():
+    words = ["xyzzyb%%%", "Éxyzzyb", "(xyzzyb,", "xyzzyb7", "ÀÖØÞ!!", "xyzzyb-xyzzyb…", "xyzzyb'll", "'xyzzyb", "÷xyzzyb", "Σxyzzyb", "9", "%%%", "É́x", "<|x|>"]
+    kind = tokens.WordEncoder(WORD)
+    kind.tokenizer = counted = Counted(kind.tokenizer)
+    got = kind.encode([" ".join(words * k).encode() for k in (1, 2)])
+    encode = whole(WORD)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [encode(" ".join(words * k)) for k in (1, 2)]
+    # Of the first five, the signs and digits alone.
+    assert not {w.lower() for w in words[:5]} & {t.lower() for t in counted.given}
+    assert len(counted.given) == len(set(counted.given))
+
+
+def test_chunks_of_all_latin_letters_and_signs_have_the_ids_of_the_library():
+    dice, signs = random.Random(5), [chr(c) for c in (*range(33, 127), *range(0xA1, 0x100))]
+    texts = ["".join(dice.choices(signs, k=dice.randint(1, 9))) for _ in range(20000)]
+    encode = whole(WORD)
+    got = tokens.WordEncoder(WORD).encode([t.encode() for t in texts])
+    assert all(np.frombuffer(ids, "<u4").tolist() == encode(t) for t, ids in zip(texts, got))
