@@ -37,8 +37,13 @@ def keys_again(keys: DataFrame) -> DataFrame:
 
 
 def pairs_across(rows: DataFrame, again: DataFrame) -> DataFrame:
-    """Pairs of records of equal name from different rows, given the keys of all names that several rows have."""
-    some = rows.withColumn("key", name_key()).join(_sent(again), "key", "left_semi").drop("key")
+    """Pairs of records of equal name from different rows, given the keys of all names that several rows have.
+
+    The rows of these names are written to the shared folder when this is called, so that both sides come from one reading.
+    """
+    path = shared_folder(rows.sparkSession)
+    rows.withColumn("key", name_key()).join(_sent(again), "key", "left_semi").drop("key").write.parquet(path)
+    some = rows.sparkSession.read.schema(rows.schema).parquet(path)
     first = some.filter("has1").select("name", "seq1", "qual1", F.col("row").alias("_row1"))
     second = some.filter("has2").select("name", "seq2", "qual2", F.col("row").alias("_row2"))
     return first.join(second, "name").filter("_row1 <> _row2").select(*PAIR_COLUMNS)

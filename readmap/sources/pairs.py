@@ -330,7 +330,7 @@ class _Walk:
                     continue
             if in_step and not n and not any(done[k] and not len(held[k]) for k in (0, 1)):
                 continue
-            mates = _mates(*(t["name"].to_pylist() for t in held))
+            mates = _mates(*(t["name"] for t in held))
             if len(mates[0]):
                 yield from self._paired(*(t.take(pa.array(m)) for t, m in zip(held, mates)))
             for k in (0, 1):
@@ -363,16 +363,22 @@ class _Walk:
         yield from pa.table(columns, names=schemas.READ_PAIR.names).to_batches()
 
 
-def _mates(left: list, right: list) -> tuple[np.ndarray, np.ndarray]:
+def _mates(left: pa.ChunkedArray, right: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of records of equal name, each in one pair: the k-th of a name on the left with the k-th on the right."""
-    places: dict = {}
-    for j, name in enumerate(right):
-        places.setdefault(name, []).append(j)
-    for found in places.values():
-        found.reverse()
-    one, two = [], []
-    for i, name in enumerate(left):
-        if found := places.get(name):
-            one.append(i)
-            two.append(found.pop())
-    return np.array(one, np.int64), np.array(two, np.int64)
+    names = pa.chunked_array([*left.chunks, *right.chunks], pa.string()).combine_chunks()
+    codes = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    turns = [_turns(side) for side in (codes[: len(left)], codes[len(left) :])]
+    _, one, two = np.intersect1d(*turns, assume_unique=True, return_indices=True)
+    order = np.argsort(one)
+    return one[order], two[order]
+
+
+def _turns(codes: np.ndarray) -> np.ndarray:
+    """A number for each record that tells its name, and the how many-th record of the name it is."""
+    order = np.argsort(codes, kind="stable")
+    ordered, places = codes[order].astype(np.int64), np.arange(len(codes))
+    begins = np.ones(len(codes), bool)
+    begins[1:] = ordered[1:] != ordered[:-1]
+    turns = np.empty(len(codes), np.int64)
+    turns[order] = (ordered << 32) + places - np.maximum.accumulate(np.where(begins, places, 0))
+    return turns

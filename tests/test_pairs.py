@@ -2,6 +2,8 @@ import gzip
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from readmap import read_fastq, register_sources
@@ -172,3 +174,33 @@ def test_what_fails(spark, tmp_path):
     (tmp_path / "2" / "b.fq").write_bytes(b"@r\nAC\nII\n@r\n")
     with pytest.raises(Exception, match="missing separator"):
         read_fastq_pairs(spark, str(tmp_path / "1"), str(tmp_path / "2")).collect()
+
+
+def test_mates_by_turn_of_their_name():
+    def plain(left, right):
+        used, found = set(), []
+        for i, name in enumerate(left):
+            j = next((j for j, other in enumerate(right) if other == name and j not in used), None)
+            if j is not None:
+                used.add(j)
+                found.append((i, j))
+        return found
+
+    dice = random.Random(3)
+    for _ in range(300):
+        sides = [[dice.choice("abcdefgh") * dice.randint(0, 2) for _ in range(dice.randint(0, 12))] for _ in range(2)]
+        cuts = [dice.randint(0, len(side)) for side in sides]
+        columns = [pa.chunked_array([side[:cut], side[cut:]], pa.string()) for side, cut in zip(sides, cuts)]
+        assert list(zip(*map(np.ndarray.tolist, pairs._mates(*columns)))) == plain(*sides)
+    none = pa.chunked_array([], pa.string())
+    assert [len(m) for m in pairs._mates(none, none)] == [0, 0]
+
+
+def test_rows_across_are_read_once(spark, tmp_path):
+    """Both sides of the join come from one reading of the files, cut down to the names that are repeated."""
+    for k in (1, 2):
+        (tmp_path / f"{k}.fq").write_text("".join(f"@{name}/{k}\nACGT\n+\nIIII\n" for name in ("a", "b", "a", "c")))
+    rows = in_step.read_fastq_pairs(spark, f"{tmp_path}/1.fq", f"{tmp_path}/2.fq")
+    found = in_step.pairs_across(rows, in_step.keys_again(rows.select(in_step.name_key().alias("key"))))
+    assert [r.name for r in found.collect()] == ["a", "a"]
+    assert "fastq_pairs" not in found._jdf.queryExecution().optimizedPlan().toString()
